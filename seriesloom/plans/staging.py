@@ -1,0 +1,31 @@
+"""Intermediate tables on shared storage, for plans that read one result several times."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+_SETTING = "spark.checkpoint.dir"
+
+
+def stage_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names; a temporary one only for a local master without the setting."""
+    folder = spark.conf.get(_SETTING, None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {_SETTING} to a folder all executors can reach")
+    folder = tempfile.mkdtemp(prefix="seriesloom-")
+    spark.conf.set(_SETTING, folder)
+    return folder
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write the frame once and read it back: later passes prune columns, push filters into the scan and
+    do not repeat the work when an executor is lost."""
+    spark = df.sparkSession
+    path = f"{stage_folder(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
