@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import cyclic, time_parts
 from ..operators.blocks import HOUR, Frames, Stage, over_blocks
 from ..operators.dedup import dedup
 from ..operators.quality import require_any
@@ -21,10 +22,23 @@ from ..operators.windows import (
     target_stage,
     velocity_stage,
 )
-from .furnace import time_features
 from .spec import FeatureSpec
 
 
+def time_features(ts: str, pi: float | None = None) -> dict[str, Column]:
+    """Calendar parts of the event time and their position on the day and week circle."""
+    parts = time_parts(ts)
+    hour_sin, hour_cos = cyclic(parts["hour"], 24, pi)
+    dow_sin, dow_cos = cyclic(parts["day_of_week"], 7, pi)
+    return {
+        **parts,
+        "hour_sin": hour_sin,
+        "hour_cos": hour_cos,
+        "dow_sin": dow_sin,
+        "dow_cos": dow_cos,
+    }
+
+
 def together(*stages: Stage) -> Stage:
     """Several stages in one projection, so that Spark plans them as one window."""
 

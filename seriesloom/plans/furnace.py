@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-from ..functions import cyclic, diff_of, product, row_mean, row_spread, safe_ratio, time_parts
+from ..functions import diff_of, product, row_mean, row_spread, safe_ratio
 from ..operators.blocks import HOUR
 from ..operators.quality import rules_each
 from ..operators.windows import Roll
@@ -165,20 +164,6 @@ def _row_features() -> dict[str, Column]:
     }
 
 
-def time_features(ts: str, pi: float | None = PI) -> dict[str, Column]:
-    """Calendar parts of the event time and their position on the day and week circle."""
-    parts = time_parts(ts)
-    hour_sin, hour_cos = cyclic(parts["hour"], 24, pi)
-    dow_sin, dow_cos = cyclic(parts["day_of_week"], 7, pi)
-    return {
-        **parts,
-        "hour_sin": hour_sin,
-        "hour_cos": hour_cos,
-        "dow_sin": dow_sin,
-        "dow_cos": dow_cos,
-    }
-
-
 def _rolls() -> list[Roll]:
     h = HOUR
     return [

@@ -32,11 +32,14 @@ def build_silver(
     flagged = flag_invalid(nan_to_null(sensors), spec.validity)
     pool = pool_means(flagged, spec.trusted, cols)
     timed = flagged.withColumn(at, parse_ts(c.time)).where(F.col(at).isNotNull())
+    fixed = impute(timed, cols, "is_outlier", pool).select(*keys, at, c.tag, *cols, "is_outlier")
+    order = [F.col(x).desc_nulls_last() for x in (c.tag, *cols)]
     if drop_outliers:
-        timed = timed.where(F.col("is_outlier") == 0)
-    fixed = impute(timed, cols, "is_outlier", pool).select(*keys, at, c.tag, *cols)
-    newest_tag = [F.col(x).desc_nulls_last() for x in (c.tag, *cols)]
-    readings = first_per(fixed, [*keys, at], newest_tag)
+        # valid readings first, so that the filter may follow the choice of one reading per time
+        readings = first_per(fixed, [*keys, at], [F.col("is_outlier").asc(), *order])
+        readings = readings.where(F.col("is_outlier") == 0)
+    else:
+        readings = first_per(fixed, [*keys, at], order)
     hourly = resample(readings, at, "hour", dict.fromkeys(cols, "avg"), keys)
 
     (target,) = c.target

@@ -12,13 +12,13 @@ _SETTING = "spark.checkpoint.dir"
 
 def stage_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only for a local master without the setting."""
-    folder = spark.conf.get(_SETTING, None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="seriesloom-")
-    spark.conf.set(_SETTING, folder)
+    sc = spark.sparkContext
+    folder = spark.conf.get(_SETTING, None) or sc.getCheckpointDir()
+    if not folder:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {_SETTING} to a folder all executors can reach")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="seriesloom-"))
+        folder = sc.getCheckpointDir()
     return folder
 
 
