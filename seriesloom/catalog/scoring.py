@@ -1 +1,132 @@
-"""Queries."""
+"""Model training, validation, scoring, attribution and anomaly flags on the derived feature store.
+
+Fitted models have no SQL equivalent; these queries are checked for shape here and for behaviour in tests.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..models.forecast import (
+    best_params,
+    expanding_cv,
+    feature_importance,
+    fit_one,
+    HorizonModel,
+    holdout,
+    permutation_importance,
+    retrain_if_drift,
+    scenario_frame,
+    score,
+    score_scenarios,
+    train_horizons,
+)
+from ..models.forest import isolation_forest
+from ..operators.quality import feature_columns
+from ..operators.resample import resample
+from ..operators.stats import drift, forecast_metrics, health
+from ..plans.features import build_features
+from ..plans.furnace import (
+    ANOMALY_INPUTS,
+    CONTRACT,
+    DEFAULTS,
+    FEATURES,
+    FURNACE,
+    NOT_FEATURES,
+    SCENARIO_SENSORS,
+    SCENARIOS,
+)
+from ..plans.silver import build_silver
+from ..plans.staging import staged
+from .base import plant_sensors, plant_targets, query, table
+
+SENSORS = ["Si", *CONTRACT.sensors]
+SMALL = {"maxIter": 5, "maxDepth": 3}
+TARGET = "target_Si_{h}h"
+
+
+def _gold(spark, sf):
+    silver = build_silver(plant_sensors(spark, sf), plant_targets(spark, sf), FURNACE)
+    return staged(build_features(staged(silver), FEATURES))
+
+
+def _labelled_silver(spark, sf):
+    """Sensors of an hour with the value two rows later: a small frame for quick fits."""
+    return _gold(spark, sf).select("si_dt", *SENSORS, *[TARGET.format(h=h) for h in (2, 4, 6, 8)])
+
+
+@query("train_and_evaluate")
+def train_and_evaluate(spark, sf):
+    gold = _gold(spark, sf)
+    features = feature_columns(gold, NOT_FEATURES)
+    train, test = holdout(gold, "si_dt", 0.2)
+    out = None
+    models = train_horizons(train, features, (2, 8), TARGET, {2: SMALL, 8: SMALL})
+    for h, m in models.items():
+        found = m.predict(test).withColumn("naive", F.col("Si"))
+        row = forecast_metrics(found, "pred", TARGET.format(h=h), "naive").withColumn("horizon_hours", F.lit(h))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("expanding_validation")
+def expanding_validation(spark, sf):
+    df = _labelled_silver(spark, sf)
+    grid = [{"maxIter": 3, "maxDepth": 2}, {"maxIter": 5, "maxDepth": 3}]
+    cv = expanding_cv(df, "si_dt", SENSORS, TARGET.format(h=2), grid, n_folds=2)
+    best = best_params(cv, grid)
+    return cv.withColumn("is_best", F.col("params_id") == grid.index(best))
+
+
+@query("score_horizons")
+def score_horizons(spark, sf):
+    df = _labelled_silver(spark, sf)
+    models = train_horizons(df, SENSORS, (2, 8), TARGET, {2: SMALL, 8: SMALL})
+    return score(df, models, keep=["si_dt"])
+
+
+@query("score_scenarios")
+def scenarios(spark, sf):
+    df = _labelled_silver(spark, sf)
+    models = train_horizons(df, SENSORS, (2, 8), TARGET, {2: SMALL, 8: SMALL})
+    return score_scenarios(scenario_frame(spark, SCENARIOS, SCENARIO_SENSORS, DEFAULTS), models)
+
+
+@query("feature_importance")
+def importance(spark, sf):
+    gold = _gold(spark, sf)
+    features = feature_columns(gold, NOT_FEATURES)
+    model = HorizonModel(8, tuple(features), fit_one(gold, features, TARGET.format(h=8), **SMALL))
+    return feature_importance(model, spark, 30)
+
+
+@query("permutation_importance")
+def attribution(spark, sf):
+    df = _labelled_silver(spark, sf)
+    model = HorizonModel(2, tuple(SENSORS), fit_one(df, SENSORS, TARGET.format(h=2), **SMALL))
+    return permutation_importance(df, model, TARGET.format(h=2), ["si_dt"], n=2000)
+
+
+@query("retrain_on_drift")
+def retrain(spark, sf):
+    df = _labelled_silver(spark, sf)
+    target = TARGET.format(h=2)
+
+    def train():
+        return train_horizons(df, SENSORS, (2,), TARGET, {2: SMALL})
+
+    watched = drift(df.where(F.col(target).isNotNull()), "si_dt", "Si", target, 0.0, abs_limit=0.0)
+    models, renewed = retrain_if_drift(watched, {}, train, "si_dt")
+    return score(df, models, keep=["si_dt"]).withColumn("renewed", F.lit(renewed))
+
+
+@query("anomaly_flags")
+def anomaly_flags(spark, sf):
+    gold = _gold(spark, sf)
+    return isolation_forest(gold, ANOMALY_INPUTS, ["si_dt"]).select("si_dt", "anomaly_score", "is_anomalous")
+
+
+@query("anomaly_health")
+def anomaly_health(spark, sf):
+    df = resample(table(spark, sf, "events"), "ts", "hour", {"value": "avg", "event_id": "count"}, ["user_id"])
+    return health(isolation_forest(df, ["value", "event_id"], ["user_id", "ts"]), "is_anomalous")

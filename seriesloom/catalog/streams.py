@@ -1 +1,136 @@
-"""Queries."""
+"""Structured Streaming over the tables as file streams; every query runs until all input is read."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..plans.staging import stage_folder
+from ..sources.files import read_table
+from ..sources.messages import encode_json, read_stream
+from ..streaming.ingest import Topic, ingest_available, write_stream
+from ..streaming.live import stream_dedup, stream_join_on_grain, stream_refresh, stream_resample, window_start
+from .base import query, round_all, rounded_sql, table
+
+WINDOWS_CLOSED = "hour + interval 1 hour <= (select max(ts) from events) - interval 1 hour"
+
+
+def _base(spark, name: str) -> str:
+    return f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _stream(spark, sf):
+    """``events`` as a file stream. Without a rate limit all files come in one micro-batch, so the answer
+    does not depend on the order in which files were written."""
+    schema = table(spark, sf, "events").schema
+    # a glob, since a file stream takes a folder or a pattern and the table may be a file or a folder
+    stream = read_stream(spark, "parquet", f"{sf}/event[s].parquet", schema)
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _drained(spark, sdf, name: str):
+    base = _base(spark, name)
+    write_stream(sdf, f"{base}/out", f"{base}/checkpoint", "available").awaitTermination()
+    return spark.read.schema(sdf.schema).parquet(f"{base}/out")
+
+
+def _topics(spark, sf, base: str) -> dict[str, Topic]:
+    ev = table(spark, sf, "events").withColumnRenamed("ts", "dt")
+    feeds = {"sensors": ev.where("event_type <> 'purchase'"), "targets": ev.where("event_type = 'purchase'")}
+    schema = (
+        T.StructType()
+        .add("dt", T.StringType())
+        .add("event_id", T.LongType())
+        .add("value", T.DoubleType())
+        .add("source_type", T.StringType())
+    )
+    topics = {}
+    for name, df in feeds.items():
+        path = f"{base}/messages/{name}"
+        encode_json(df.select("dt", "event_id", "value"), name).write.text(path)
+        topics[name] = Topic(schema, name, {"kind": "text", "path": path})
+    return topics
+
+
+_PARTS = "cast(year(ts) as integer) as year, cast(month(ts) as integer) as month, cast(day(ts) as integer) as day"
+
+
+@query(
+    "stream_ingest",
+    f"select event_id, value, 'sensors' as source_type, {_PARTS} from events where event_type <> 'purchase'",
+)
+def stream_ingest(spark, sf):
+    base = _base(spark, "ingest")
+    topics = _topics(spark, sf, base)
+    ingest_available(spark, {"sensors": topics["sensors"]}, base)
+    return read_table(spark, f"{base}/sensors").select("event_id", "value", "source_type", "year", "month", "day")
+
+
+@query(
+    "stream_ingest_topics",
+    """select case when event_type = 'purchase' then 'targets' else 'sensors' end as source_type, count(*) as n,
+  cast(day(ts) as integer) as day from events group by all""",
+)
+def stream_ingest_topics(spark, sf):
+    base = _base(spark, "ingest")
+    topics = _topics(spark, sf, base)
+    ingest_available(spark, topics, base)
+    ingest_available(spark, topics, base)  # continues from the checkpoints: nothing arrives twice
+    both = read_table(spark, f"{base}/sensors").unionByName(read_table(spark, f"{base}/targets"))
+    return both.groupBy("source_type", "day").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "stream_resample",
+    f"""with h as (select date_trunc('hour', ts) as hour, user_id % 5 as line, avg(value) as value, max(event_id) as event_id
+  from events group by 1, 2)
+select cast(hour as timestamp) as hour, line, {rounded_sql('value')} as value, event_id from h where {WINDOWS_CLOSED}""",
+)
+def resample_stream(spark, sf):
+    sdf = _stream(spark, sf).withColumn("line", F.expr("user_id % 5"))
+    hourly = stream_resample(sdf, "ts", "1 hour", {"value": "avg", "event_id": "max"}, "1 hour", ["line"])
+    return round_all(_drained(spark, window_start(hourly, "hour"), "resample"), ["value"])
+
+
+@query(
+    "stream_join_on_hour",
+    f"""with a as (select date_trunc('hour', ts) as hour, avg(value) as value from events group by 1),
+b as (select date_trunc('hour', ts) as hour, max(event_id) as target_id from events where event_type = 'purchase' group by 1)
+select cast(hour as timestamp) as hour, {rounded_sql('value')} as value, target_id from a join b using (hour)
+where {WINDOWS_CLOSED}""",
+)
+def join_stream(spark, sf):
+    left = stream_resample(_stream(spark, sf), "ts", "1 hour", {"value": "avg"})
+    right = _stream(spark, sf).where("event_type = 'purchase'").withColumnRenamed("event_id", "target_id")
+    right = stream_resample(right, "ts", "1 hour", {"target_id": "max"})
+    joined = window_start(stream_join_on_grain(left, right), "hour")
+    return round_all(_drained(spark, joined, "join"), ["value"])
+
+
+@query("stream_dedup", "select event_id, value from events")
+def dedup_stream(spark, sf):
+    sdf = _stream(spark, sf)
+    twice = sdf.unionByName(_stream(spark, sf))
+    return _drained(spark, stream_dedup(twice, "ts", ["event_id"], "40 days").select("event_id", "value"), "dedup")
+
+
+_SEC = "epoch_us(ts) // 1000000"
+_W = "(partition by user_id order by ts, event_id)"
+
+
+@query(
+    "stream_refresh",
+    f"""with v as (select *, lag(value) over w as value_lag_1h, value - lag(value) over w as value_diff_1h,
+  ({_SEC} - lag({_SEC}) over w) / 3600e0 + 1e-5 as h from events window w as {_W}),
+u as (select *, value_diff_1h / h as value_velocity from v),
+a as (select *, (value_velocity - lag(value_velocity) over w) / h as value_acceleration from u window w as {_W})
+select user_id, ts, value, value_lag_1h, {rounded_sql('value_diff_1h')} as value_diff_1h,
+  {rounded_sql('value_velocity', 4)} as value_velocity, {rounded_sql('value_acceleration', 2)} as value_acceleration
+from a where epoch_us(ts) <= (select epoch_us(max(ts)) // 1000 * 1000 - 3600000000 from events)""",
+)
+def refresh_stream(spark, sf):
+    fresh = stream_refresh(_stream(spark, sf), "ts", ["value"], ["user_id"], "1 hour")
+    out = _drained(spark, fresh, "refresh").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return round_all(out, {"value_diff_1h": 6, "value_velocity": 4, "value_acceleration": 2})
