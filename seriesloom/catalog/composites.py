@@ -39,11 +39,11 @@ targets as ({TARGET_SQL}),
 flagged as (select *, case when coalesce({valid}, false) then 0 else 1 end as is_outlier from sensors),
 pool as (select {", ".join(f"avg({c}) as m_{c}" for c in COLS)} from flagged
   where source_type = 'second' or (source_type = 'first' and is_outlier = 0)),
-fixed as (select {k}cast(dt as timestamp) as t, source_type, {fixed} from flagged, pool
-  {"where is_outlier = 0" if drop_outliers else ""}),
-readings as (select * from fixed qualify row_number() over (partition by {k}t order by {order}) = 1),
+readings as (select *, cast(dt as timestamp) as t from flagged {"where is_outlier = 0" if drop_outliers else ""}
+  qualify row_number() over (partition by {k}dt order by {order}) = 1),
+fixed as (select {k}t, {fixed} from readings, pool),
 hourly as (select {k}date_trunc('hour', t) as si_dt, {", ".join(f"avg({c}) as {c}" for c in COLS)}
-  from readings group by all),
+  from fixed group by all),
 latest as (select {k}date_trunc('hour', cast(dt as timestamp)) as si_dt, Si from targets
   qualify row_number() over (partition by {k}date_trunc('hour', cast(dt as timestamp))
     order by cast(dt as timestamp) desc, Si desc) = 1),
@@ -190,7 +190,7 @@ def _gold_select(keyed: bool) -> str:
 
 @query("feature_store", _gold_select(False))
 def feature_store(spark, sf):
-    return round_all(build_features(staged(_silver(spark, sf)), FEATURES), _GOLD)
+    return round_all(build_features(staged(_silver(spark, sf)), FEATURES, deduplicate=False), _GOLD)
 
 
 @query("feature_store_keyed", _gold_select(True))

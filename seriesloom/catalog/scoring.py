@@ -47,7 +47,7 @@ TARGET = "target_Si_{h}h"
 
 def _gold(spark, sf):
     silver = build_silver(plant_sensors(spark, sf), plant_targets(spark, sf), FURNACE)
-    return staged(build_features(staged(silver), FEATURES))
+    return staged(build_features(staged(silver), FEATURES, deduplicate=False))
 
 
 def _labelled_silver(spark, sf):

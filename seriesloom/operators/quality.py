@@ -47,8 +47,9 @@ def double_cols(df: DataFrame) -> list[str]:
 
 
 def pool_means(df: DataFrame, cond: Rule, cols: Sequence[str] | None = None) -> DataFrame:
-    """One row with the mean of every double column over the rows of the trusted pool."""
-    return df.where(_cond(cond)).agg(*[F.avg(c).alias(c) for c in (cols or double_cols(df))])
+    """One row with the mean of every double column over the rows of the trusted pool, NaN left out."""
+    wanted = cols or double_cols(df)
+    return df.where(_cond(cond)).agg(*[F.avg(F.when(~F.isnan(c), F.col(c))).alias(c) for c in wanted])
 
 
 def broadcast_row(df: DataFrame, stats: DataFrame, name: str = "_stats") -> DataFrame:
@@ -57,17 +58,28 @@ def broadcast_row(df: DataFrame, stats: DataFrame, name: str = "_stats") -> Data
     return df.select("*", row.scalar().alias(name))
 
 
-def impute(df: DataFrame, cols: Sequence[str], flag: str, fill: DataFrame) -> DataFrame:
-    """Replace NULL and non-positive values of flagged rows by the value of the one-row ``fill``."""
-    wanted = [c for c in cols if c in fill.columns]
-    joined = broadcast_row(df, fill.select(*wanted), "_fill")
+def impute(
+    df: DataFrame, cols: Sequence[str], flag: str, fill: DataFrame | Mapping[str, float | None]
+) -> DataFrame:
+    """Replace missing and non-positive values of flagged rows by the fill value of the column.
+
+    NaN counts as missing and leaves as NULL in rows that are not flagged. ``fill`` is a one-row frame,
+    attached lazily, or a mapping, which gives smaller generated code.
+    """
+    if isinstance(fill, DataFrame):
+        wanted = [c for c in cols if c in fill.columns]
+        source = broadcast_row(df, fill.select(*wanted), "_fill")
+        value = {c: F.coalesce(F.col("_fill")[c], F.col(c)) for c in wanted}
+    else:
+        source = df
+        value = {c: F.lit(fill[c]) for c in cols if fill.get(c) is not None}
 
     def repaired(c: str) -> Column:
-        bad = (F.col(flag) == 1) & (F.col(c).isNull() | (F.col(c) <= 0))
-        usable = F.col("_fill")[c].isNotNull()
-        return F.when(bad & usable, F.col("_fill")[c]).otherwise(F.col(c)).alias(c)
+        flagged = F.col(flag) == 1
+        sound = (~flagged | (F.col(c) > 0)) & ~F.isnan(c)
+        return F.when(sound, F.col(c)).when(flagged, value[c]).alias(c)
 
-    return joined.select(*[repaired(c) if c in wanted else F.col(c) for c in df.columns])
+    return source.select(*[repaired(c) if c in value else F.col(c) for c in df.columns])
 
 
 def fill_missing(df: DataFrame, cols: Sequence[str], value: float = 0.0) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,7 @@ from ..operators.windows import (
     velocity_stage,
 )
 from .spec import FeatureSpec
+from .staging import staged
 
 
 def time_features(ts: str, pi: float | None = None) -> dict[str, Column]:
@@ -55,18 +56,21 @@ def build_features(
     keys: Sequence[str] = (),
     deduplicate: bool = True,
     width_s: int | None = None,
+    stage: Callable[[DataFrame], DataFrame] = staged,
 ) -> DataFrame:
     """Feature table: dedup, gap filter, row features, windows, future targets, completeness filter.
 
     ``ts`` has whole seconds. All windows share one block partitioning and one sort; only the columns
     they read travel with the extra rows. Features of the row alone are added behind the windows unless
-    a window reads them.
+    a window reads them. The block windows read their input more than once, so the results of the dedup
+    and of the gap filter go through ``stage`` (a written table by default). Input that is stored and
+    unique per series and time, like the silver table, needs no ``deduplicate``.
     """
     keys = list(keys)
     if deduplicate:
         rest = [F.col(c).desc_nulls_last() for c in df.columns if c not in (*keys, ts)]
-        df = dedup(df, [*keys, ts], rest)
-    df = drop_after_gap(df, ts, spec.max_gap_hours, keys, unique=True)
+        df = stage(dedup(df, [*keys, ts], rest))
+    df = stage(drop_after_gap(df, ts, spec.max_gap_hours, keys, unique=True))
 
     row = spec.row_features()
     inputs = {*spec.lags, *[r.col for r in spec.rolls], *spec.diffs, *spec.velocities.values(), spec.target}

@@ -46,6 +46,8 @@ VALIDITY = [
     "H2 between 0.2e0 and 12e0",
     f"({' + '.join(TT)}) / 4e0 < ({' + '.join(TP)}) / 10e0",
 ]
+# A NaN is greater than any number, so it fails every rule with an upper limit; these have none.
+NOT_NAN = ["not isnan(Pc)", f"not isnan({' + '.join(TP)})"]
 
 TRUSTED = "source_type = 'second' or (source_type = 'first' and is_outlier = 0)"
 
@@ -221,5 +223,5 @@ FEATURES = FeatureSpec(
 )
 
 FURNACE = PlantSpec(
-    contract=CONTRACT, validity=VALIDITY, trusted=TRUSTED, features=FEATURES, cleaning=CLEANING
+    contract=CONTRACT, validity=[*VALIDITY, *NOT_NAN], trusted=TRUSTED, features=FEATURES, cleaning=CLEANING
 )

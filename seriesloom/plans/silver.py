@@ -29,17 +29,19 @@ def build_silver(
     c, keys = spec.contract, list(keys)
     cols, at = c.sensors, c.refined_time
 
-    flagged = flag_invalid(nan_to_null(sensors), spec.validity)
-    pool = pool_means(flagged, spec.trusted, cols)
-    timed = flagged.withColumn(at, parse_ts(c.time)).where(F.col(at).isNotNull())
-    fixed = impute(timed, cols, "is_outlier", pool).select(*keys, at, c.tag, *cols, "is_outlier")
+    # Repair follows the shuffle of the dedup: it touches only the readings that are kept, and neither
+    # side of the shuffle grows a generated method beyond what the JVM compiles.
+    flagged = flag_invalid(sensors, spec.validity)
+    pool = pool_means(flagged, spec.trusted, cols).first().asDict()
+    timed = flagged.withColumn(at, parse_ts(c.time))  # the join drops readings without a time
     order = [F.col(x).desc_nulls_last() for x in (c.tag, *cols)]
     if drop_outliers:
         # valid readings first, so that the filter may follow the choice of one reading per time
-        readings = first_per(fixed, [*keys, at], [F.col("is_outlier").asc(), *order])
+        order = [F.col("is_outlier").asc(), *order]
+    readings = first_per(timed.select(*keys, at, c.tag, *cols, "is_outlier"), [*keys, at], order)
+    if drop_outliers:
         readings = readings.where(F.col("is_outlier") == 0)
-    else:
-        readings = first_per(fixed, [*keys, at], order)
+    readings = impute(readings, cols, "is_outlier", pool)
     hourly = resample(readings, at, "hour", dict.fromkeys(cols, "avg"), keys)
 
     (target,) = c.target
