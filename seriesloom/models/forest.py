@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.quantiles import exact_quantiles
+from ..plans.staging import staged
 
 _NODE = "tree int, node int, feature int, split double, left int, right int, size int"
 _BITS = 1 << 30
@@ -89,23 +90,24 @@ def fit_forest(
     n = filled.count()
     size = min(sample, n)
 
-    def share(*salt) -> Column:
-        return F.pmod(F.xxhash64(*[F.lit(s) if not isinstance(s, Column) else s for s in salt], *[F.col(c) for c in ids]), F.lit(_BITS))
-
-    pool_rows = 4 * n_trees * size
-    if n > pool_rows:
-        filled = filled.where(share(seed) < int(_BITS * pool_rows / n))
-        n = pool_rows
-    often = min(_BITS, int(_BITS * 1.5 * size / n) + 1)
+    id_cols = [F.col(c) for c in ids]
+    rank = F.xxhash64(F.lit(seed), F.col("tree"), *id_cols)
+    if n <= 4 * size:
+        offered = filled.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
+    else:
+        # every row is offered to a few trees chosen by hash, half as many again as the trees need in all
+        share = 1.5 * n_trees * size / n
+        slots = int(np.ceil(share))
+        chosen = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("slot"), *id_cols), F.lit(_BITS))
+        offered = (
+            filled.withColumn("slot", F.explode(F.sequence(F.lit(1), F.lit(slots))))
+            .where(chosen < int(_BITS * share / slots))
+            .withColumn("tree", F.pmod(F.xxhash64(F.lit(seed + 2), F.col("slot"), *id_cols), F.lit(n_trees)).cast("int"))
+            .dropDuplicates(["tree", *ids])
+        )
+    place = Window.partitionBy("tree").orderBy(rank, *ids)
     per_tree = (
-        filled.withColumn("tree", F.explode(F.filter(
-            F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: share(seed + 1, t) < often
-        )))
-        .withColumn("_rn", F.row_number().over(
-            Window.partitionBy("tree").orderBy(share(seed + 1, F.col("tree")), *ids)
-        ))
-        .where(F.col("_rn") <= size)
-        .select("tree", "_rn", *cols)
+        offered.withColumn("_rn", F.row_number().over(place)).where(F.col("_rn") <= size).select("tree", "_rn", *cols)
     )
     limit = int(np.ceil(np.log2(max(size, 2))))
 
@@ -148,8 +150,13 @@ def isolation_forest(
     contamination: float = 0.05,
     seed: int = 42,
     flag: str = "is_anomalous",
+    stage: Callable[[DataFrame], DataFrame] = staged,
 ) -> DataFrame:
-    """-1 for the ``contamination`` share of rows with the highest anomaly score, 1 for the others."""
-    scored = score_forest(df, fit_forest(df, cols, ids, n_trees, sample, seed))
+    """-1 for the ``contamination`` share of rows with the highest anomaly score, 1 for the others.
+
+    The cut-off needs the scores of all rows before the first flag can be given, so the scored frame goes
+    through ``stage`` (a written table by default) and is not scored again.
+    """
+    scored = stage(score_forest(df, fit_forest(df, cols, ids, n_trees, sample, seed)))
     (cut,) = exact_quantiles(scored, ["anomaly_score"], [1 - contamination])["anomaly_score"]
     return scored.withColumn(flag, F.when(F.col("anomaly_score") > F.lit(cut), -1).otherwise(1))

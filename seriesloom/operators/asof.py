@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import epoch_us, minutes_between
-from .blocks import DAY, MICROS, assign_blocks
+from .blocks import DAY, MICROS, assign_blocks, left_lookup
 
-_POS, _SIDE, _R, _L, _T, _BLK, _US = "_pos", "_side", "_right", "_left", "_tie", "_block", "_micros"
+_SIDE, _R, _L, _T, _BLK, _US, _COPIES = "_side", "_right", "_left", "_tie", "_block", "_micros", "_copies"
+_SALTS = 64
 
 
 def asof_join(
@@ -34,7 +35,8 @@ def asof_join(
 
     Both sides are cut into (series, block of time) and shuffled together once. The right row in effect
     at the start of a block comes from a table with one row per series and block, reduced map-side, so
-    neither a long nor a hot series ends up in one task.
+    neither a long nor a hot series ends up in one task. Blocks above ``max_rows`` are cut further; if a
+    single time is above it, its left rows are spread by hash and exact copies are counted first.
     """
     keys = list(keys)
     values = [c for c in right.columns if c not in keys]
@@ -83,40 +85,60 @@ def _match(
 ) -> DataFrame:
     """Last right row at or before each left row along ``sign`` * time."""
     extra = [c for c in base.columns if c not in (*keys, "_t", _L)]
-    both = base.select(
-        *keys, "_t", F.lit(1).alias(_SIDE), F.col(_L), *extra
-    ).unionByName(facts.select(*keys, "_t", F.lit(0).alias(_SIDE), _R, _T), allowMissingColumns=True)
-    both = assign_blocks(both, F.lit(sign) * epoch_us("_t"), keys, width_s, max_rows)
+
+    def stacked(left: DataFrame) -> DataFrame:
+        rows = left.select(*keys, "_t", F.lit(1).alias(_SIDE), _L, *extra, *([_COPIES] if _COPIES in left.columns else []))
+        return rows.unionByName(facts.select(*keys, "_t", F.lit(0).alias(_SIDE), _R, _T), allowMissingColumns=True)
+
+    both, hot = assign_blocks(stacked(base), F.lit(sign) * epoch_us("_t"), keys, width_s, max_rows)
+    tied = None if hot is None else hot.tied
+    if tied is not None:
+        # Copies of a row have the same match: they are counted before the shuffle and repeated after it.
+        counted = base.groupBy(*keys, "_t", _L, *extra).agg(F.count(F.lit(1)).alias(_COPIES))
+        both, _ = assign_blocks(stacked(counted), F.lit(sign) * epoch_us("_t"), keys, width_s, max_rows)
+        both = left_lookup(both, tied.withColumn("_is_tied", F.lit(True)), keys, _BLK, "_b").drop("_b")
+        # All rows of such a block share one time, so its left rows need no order and may be spread.
+        spread = F.col("_is_tied") & (F.col(_SIDE) == 1)
+        salt = F.when(spread, F.pmod(F.xxhash64(_L), F.lit(_SALTS))).otherwise(0)
+        both = both.withColumn("_salt", salt.cast("int"))
+        part = [*keys, _BLK, "_salt"]
+    else:
+        part = [*keys, _BLK]
 
     # the tie-break ascends for backward and descends for forward, so that the last row wins
-    order: Column = F.col(_T)
-    latest = F.max_by(_R, F.when(F.col(_SIDE) == 0, F.col(_T))) if sign > 0 else F.min_by(
-        _R, F.when(F.col(_SIDE) == 0, F.col(_T))
+    newest = F.max_by if sign > 0 else F.min_by
+    per_block = both.groupBy(*keys, _BLK).agg(
+        newest(_R, F.when(F.col(_SIDE) == 0, F.col(_T))).alias("_here"),
+        F.max(_SIDE).alias("_any_left"),
+        *([F.max("_is_tied").alias("_is_tied")] if tied is not None else []),
     )
     opening = Window.partitionBy(*keys).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        both.groupBy(*keys, _BLK)
-        .agg(latest.alias(_R), F.max(_SIDE).alias("_any_left"))
-        .withColumn(_R, F.last(_R, ignorenulls=True).over(opening))
-        .where((F.col("_any_left") == 1) & F.col(_R).isNotNull())
-        .select(*keys, _BLK, F.lit(-1).alias(_SIDE), _R)
+    carried = per_block.withColumn(_R, F.last("_here", ignorenulls=True).over(opening))
+    if tied is not None:
+        carried = carried.withColumn(
+            _R, F.when(F.col("_is_tied"), F.coalesce("_here", _R)).otherwise(F.col(_R))
+        ).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(F.col("_is_tied"), _SALTS - 1).otherwise(0))))
+    carried = carried.where((F.col("_any_left") == 1) & F.col(_R).isNotNull()).select(
+        *part, F.lit(-1).alias(_SIDE), _R
     )
     w = (
-        Window.partitionBy(*keys, _BLK)
+        Window.partitionBy(*part)
         .orderBy(
             (F.col(_SIDE) >= 0).asc(),
             F.col(_US).asc(),
             F.col(_SIDE).asc(),
-            order.asc() if sign > 0 else order.desc(),
+            F.col(_T).asc() if sign > 0 else F.col(_T).desc(),
         )
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    return (
+    found = (
         both.unionByName(carried, allowMissingColumns=True)
         .withColumn(out, F.last(_R, ignorenulls=True).over(w))
         .where(F.col(_SIDE) == 1)
-        .select(*keys, "_t", _L, *extra, out)
     )
+    if tied is not None:
+        found = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(_COPIES))))
+    return found.select(*keys, "_t", _L, *extra, out)
 
 
 def asof_drift(df: DataFrame, lt: str, rt: str, out: str = "drift_min") -> DataFrame:

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import epoch_s, epoch_us
 
@@ -62,38 +63,50 @@ def block_start(us: Column, width_us: Column | int) -> Column:
     return us - F.pmod(us, width)
 
 
-def refined_widths(
+@dataclass(frozen=True)
+class HotBlocks:
+    """Blocks above the row limit: the narrower width for each, and the single microseconds that are
+    above it on their own. Both have at most rows / max_rows entries, which bounds what the driver
+    holds and what is broadcast."""
+
+    widths: DataFrame
+    tied: DataFrame | None
+
+
+def hot_blocks(
     df: DataFrame, us: Column, keys: Sequence[str], width_us: int, max_rows: int
-) -> DataFrame | None:
-    """Narrower widths for the blocks that hold more than ``max_rows`` rows, or None.
+) -> HotBlocks | None:
+    """Find the blocks that hold more than ``max_rows`` rows and how far they must be cut.
 
-    Counts are combined map-side, so a hot block costs nothing extra here. The result has at most
-    rows / max_rows entries, which bounds what is brought to the driver and broadcast. A block is
-    split until its parts fit or are one microsecond wide; rows that share a microsecond stay together.
+    Rows are only counted, and counts are combined map-side, so a hot block costs nothing extra here.
+    A block is cut until its parts fit or are one microsecond wide.
     """
-    rows = df.select(*keys, us.alias(_US))
+    spark = df.sparkSession
+    base = df.select(*keys, us.alias(_US)).withColumn("_b0", block_start(F.col(_US), width_us))
+
+    def sizes(frame: DataFrame, width: int) -> DataFrame:
+        return frame.groupBy(*keys, "_b0", block_start(F.col(_US), width).alias("_b")).count()
 
-    def over_limit(frame: DataFrame, width: int) -> DataFrame:
-        fine = frame.groupBy(*keys, "_b0", block_start(F.col(_US), width).alias("_b")).count()
-        return fine.groupBy(*keys, "_b0").agg(F.max("count").alias("_n"))
+    def largest(frame: DataFrame, width: int) -> DataFrame:
+        return sizes(frame, width).groupBy(*keys, "_b0").agg(F.max("count").alias("_n"))
 
-    base = rows.withColumn("_b0", block_start(F.col(_US), width_us))
-    hot = over_limit(base, width_us).where(F.col("_n") > max_rows).drop("_n").collect()
+    hot = [tuple(r[:-1]) for r in largest(base, width_us).where(F.col("_n") > max_rows).collect()]
     if not hot:
         return None
-    schema = over_limit(base, width_us).drop("_n").schema
-    spark = df.sparkSession
-    done, width = [], width_us
-    while hot and width > 1:
+    schema = base.drop(_US).schema
+    done, tied, width = [], None, width_us
+    while hot:
         width = max(1, width // _FAN)
         wanted = F.broadcast(spark.createDataFrame(hot, schema))
         inside = base.join(wanted, _same(base, wanted, [*keys, "_b0"]), "left_semi")
-        sizes = over_limit(inside, width).collect()
-        for r in sizes:
-            if r["_n"] <= max_rows or width == 1:
-                done.append((*r[:-1], width))
-        hot = [tuple(r[:-1]) for r in sizes if r["_n"] > max_rows]
-    return spark.createDataFrame(done, schema.add("_w", "long"))
+        found = largest(inside, width).collect()
+        done += [(*r[:-1], width) for r in found if r["_n"] <= max_rows or width == 1]
+        hot = [tuple(r[:-1]) for r in found if r["_n"] > max_rows and width > 1]
+        if width == 1:
+            rows = sizes(inside, 1).where(F.col("count") > max_rows).select(*keys, "_b").collect()
+            names = T.StructType([*[schema[k] for k in keys], T.StructField("_b", T.LongType())])
+            tied = spark.createDataFrame([tuple(r) for r in rows], names) if rows else None
+    return HotBlocks(spark.createDataFrame(done, T.StructType([*schema.fields, T.StructField("_w", T.LongType())])), tied)
 
 
 def _same(left: DataFrame, right: DataFrame, cols: Iterable[str]) -> Column:
@@ -110,24 +123,27 @@ def assign_blocks(
     keys: Sequence[str],
     width_s: int,
     max_rows: int | None,
-) -> DataFrame:
+) -> tuple[DataFrame, HotBlocks | None]:
     """Add the block column; blocks above ``max_rows`` are cut into narrower ones."""
     width_us = width_s * MICROS
     plain = df.withColumn(_US, us).withColumn(_BLK, block_start(F.col(_US), width_us))
-    finer = None if max_rows is None else refined_widths(df, us, keys, width_us, max_rows)
-    if finer is None:
-        return plain
-    right = finer.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_b0", "_w")
-    on = plain[_BLK].eqNullSafe(right["_b0"])
-    for k in keys:
-        on = on & plain[k].eqNullSafe(right[f"_k_{k}"])
-    return plain.join(F.broadcast(right), on, "left").select(
-        *df.columns,
-        _US,
-        F.when(F.col("_w").isNull(), F.col(_BLK))
-        .otherwise(block_start(F.col(_US), F.coalesce("_w", F.lit(1))))
-        .alias(_BLK),
+    hot = None if max_rows is None else hot_blocks(df, us, keys, width_us, max_rows)
+    if hot is None:
+        return plain, None
+    marked = left_lookup(plain, hot.widths, keys, _BLK, "_b0")
+    finer = F.when(F.col("_w").isNull(), F.col(_BLK)).otherwise(
+        block_start(F.col(_US), F.coalesce("_w", F.lit(1)))
     )
+    return marked.select(*df.columns, _US, finer.alias(_BLK)), hot
+
+
+def left_lookup(df: DataFrame, small: DataFrame, keys: Sequence[str], col: str, small_col: str) -> DataFrame:
+    """Left join with a table of hot blocks, whose size is bounded, null-safe on the keys."""
+    right = small.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    on = df[col].eqNullSafe(right[small_col])
+    for k in keys:
+        on = on & df[k].eqNullSafe(right[f"_k_{k}"])
+    return df.join(F.broadcast(right), on, "left").drop(*[f"_k_{k}" for k in keys])
 
 
 def _carried(
@@ -190,7 +206,7 @@ def over_blocks(
     ranged = bool(back_s or fwd_s)
     width = width_s or max(4 * (back_s + fwd_s), 7 * DAY)
     src = df.where(F.col(ts).isNotNull())
-    blocked = assign_blocks(src, epoch_us(ts), keys, width, None if unique else max_rows)
+    blocked, _ = assign_blocks(src, epoch_us(ts), keys, width, None if unique else max_rows)
     blocked = blocked.withColumn(_S, epoch_s(ts))
     order = [F.col(_S)] if unique else [F.col(_US), *[F.col(t) for t in tie]]
 

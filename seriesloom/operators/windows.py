@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import epoch_s, epoch_us, safe_ratio
@@ -278,13 +278,12 @@ def rolling(
 ) -> DataFrame:
     """Rolling values over time-range frames, both ends included.
 
-    A range frame gives the same answer to all rows of one series and second. So input that is not
-    ``unique`` is first reduced to partial sums per series and second (combined map-side), the frames
-    run over those, and the answers are joined back. No window group ever holds more rows than its
-    block has seconds, whatever the input looks like.
+    ``unique`` input (one row per series and second, on a coarse grain such as hours) is framed as it is.
+    Any other input is first reduced to partial sums per series and second, combined map-side: a range
+    frame gives the same answer to all rows of one second, so the answers are joined back. Their cost
+    does not depend on the number of rows in a frame (see ``_two_chunks``), and no window group holds
+    more rows than a frame has seconds. Frames that look ahead need ``unique`` input.
     """
-    back = max(r.back_s for r in rolls)
-    fwd = max(r.fwd_s for r in rolls)
     cols = list(dict.fromkeys(r.col for r in rolls))
     if unique:
         return over_blocks(
@@ -292,75 +291,137 @@ def rolling(
             ts,
             [roll_stage(rolls)],
             keys,
-            back_s=back,
-            fwd_s=max(fwd, 0),
+            back_s=max(r.back_s for r in rolls),
+            fwd_s=max(0, *[r.fwd_s for r in rolls]),
             width_s=width_s,
             unique=True,
             uses=cols,
         )
+    if any(r.fwd_s for r in rolls):
+        raise ValueError("frames that look ahead need one row per series and second")
 
-    at = "_roll_s"
-    timed = df.withColumn(at, epoch_s(ts))
+    keys = list(keys)
+    timed = df.withColumn(_AT, epoch_s(ts))
     parts = []
-    need = {(r.col, r.fn) for r in rolls}
-    for c in cols:
+    for c, fns in _needs(rolls).items():
         x = F.col(c).cast("double")
         parts.append(F.count(c).alias(f"_n_{c}"))
-        parts.append(F.sum(x).alias(f"_sum_{c}"))
-        if (c, "stddev") in need:
+        parts.append(F.coalesce(F.sum(x), F.lit(0.0)).alias(f"_sum_{c}"))
+        if "stddev" in fns:
             parts.append(F.coalesce(F.var_pop(x) * F.count(c), F.lit(0.0)).alias(f"_m2_{c}"))
-        if (c, "min") in need:
+        if "min" in fns:
             parts.append(F.min(c).alias(f"_min_{c}"))
-        if (c, "max") in need:
+        if "max" in fns:
             parts.append(F.max(c).alias(f"_max_{c}"))
-        if (c, "last") in need:
+        if "last" in fns:
             pos = F.struct(epoch_us(ts), *[F.col(t) for t in tie])
             parts.append(F.max_by(c, F.when(F.col(c).isNotNull(), pos)).alias(f"_last_{c}"))
-    slim = timed.where(F.col(ts).isNotNull()).groupBy(*keys, at).agg(*parts)
-    slim = slim.withColumn("_roll_ts", F.timestamp_seconds(at).cast("timestamp_ntz"))
+    slim = timed.where(F.col(ts).isNotNull()).groupBy(*keys, _AT).agg(*parts)
+    for back in sorted({r.back_s for r in rolls}):
+        slim = _two_chunks(slim, keys, back, [r for r in rolls if r.back_s == back])
 
-    def centre(f: Frames) -> dict[str, Column]:
-        # sums of squares are taken around the block mean, which keeps them well conditioned
-        def mean(c: str) -> Column:
-            return F.try_divide(F.sum(f"_sum_{c}").over(f.whole), F.sum(f"_n_{c}").over(f.whole))
+    outs = [r.out for r in rolls]
+    done = slim.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(_AT).alias("_at"), *outs)
+    on = timed[_AT].eqNullSafe(done["_at"])
+    for k in keys:
+        on = on & timed[k].eqNullSafe(done[f"_k_{k}"])
+    return timed.join(done, on, "left").select(*df.columns, *outs)
 
-        return {f"_c_{c}": F.coalesce(mean(c), F.lit(0.0)) for c in cols if (c, "stddev") in need}
 
-    def combine(f: Frames) -> dict[str, Column]:
-        out = {}
-        for r in rolls:
-            w, c = f.between(-r.back_s, r.fwd_s), r.col
-            n, total = F.sum(f"_n_{c}").over(w), F.sum(f"_sum_{c}").over(w)
-            if r.fn == "avg":
-                out[r.out] = F.try_divide(total, n)
-            elif r.fn == "sum":
-                out[r.out] = total
-            elif r.fn == "count":
-                out[r.out] = F.coalesce(n, F.lit(0))
-            elif r.fn in ("min", "max"):
-                out[r.out] = _PLAIN[r.fn](f"_{r.fn}_{c}").over(w)
-            elif r.fn == "last":
-                out[r.out] = F.last(f"_last_{c}", ignorenulls=True).over(w)
-            else:
-                near = F.when(F.col(f"_n_{c}") > 0, F.col(f"_sum_{c}") - F.col(f"_n_{c}") * F.col(f"_c_{c}"))
-                dev = F.sum(near).over(w)
-                sq = F.sum(F.try_divide(near * near, F.col(f"_n_{c}")) + F.col(f"_m2_{c}")).over(w)
-                spread = F.greatest(sq - dev * dev / n, F.lit(0.0))
-                out[r.out] = F.when(n > 1, F.sqrt(F.try_divide(spread, n - 1)))
-        return out
+_AT = "_roll_s"
 
-    done = over_blocks(
-        slim,
-        "_roll_ts",
-        [centre, combine],
-        keys,
-        back_s=back,
-        fwd_s=max(fwd, 0),
-        width_s=width_s,
-        unique=True,
-        uses=[c for c in slim.columns if c.startswith("_")],
-    ).select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(at).alias("_at"), *[r.out for r in rolls])
-    on = timed[at].eqNullSafe(done["_at"])
-    for k in keys:
-        on = on & timed[k].eqNullSafe(done[f"_k_{k}"])
-    return timed.join(done, on, "left").select(*df.columns, *[r.out for r in rolls])
+
+def _needs(rolls: Sequence[Roll]) -> dict[str, set[str]]:
+    out: dict[str, set[str]] = {}
+    for r in rolls:
+        out.setdefault(r.col, set()).add(r.fn)
+    return out
+
+
+def _two_chunks(slim: DataFrame, keys: list[str], back: int, rolls: Sequence[Roll]) -> DataFrame:
+    """Rolling values over [t - back, t] for partial sums per second.
+
+    Time is cut into chunks as long as the frame. A frame then consists of the rows of its own chunk up
+    to t and the rows of the chunk before from t - back on. Both are running aggregates, forwards and
+    backwards, so each row costs the same however many rows its frame holds, and nothing is subtracted.
+    The backward aggregates move one frame ahead in time, where the row that needs one finds it as the
+    nearest that is not earlier.
+    """
+    chunk, length = "_chunk", back + 1
+    part = [*keys, chunk]
+    upto = Window.partitionBy(*part).orderBy(F.col(_AT).asc()).rowsBetween(Window.unboundedPreceding, 0)
+    downto = Window.partitionBy(*part).orderBy(F.col(_AT).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*part)
+    needs = _needs(rolls)
+
+    cut = slim.withColumn(chunk, F.floor(F.col(_AT) / F.lit(length)))
+    for c, fns in needs.items():
+        if "stddev" in fns:
+            # squares are taken around the mean of the chunk, which keeps them well conditioned
+            mean = F.try_divide(F.sum(f"_sum_{c}").over(whole), F.sum(f"_n_{c}").over(whole))
+            cut = cut.withColumn(f"_c_{c}", F.coalesce(mean, F.lit(0.0)))
+
+    def running(c: str, fns: set[str], w: WindowSpec) -> Column:
+        n, total = F.col(f"_n_{c}"), F.col(f"_sum_{c}")
+        fields = [F.sum(n).over(w).alias("n"), F.sum(total).over(w).alias("sum")]
+        if "stddev" in fns:
+            dev = total - n * F.col(f"_c_{c}")
+            sq = F.coalesce(F.try_divide(dev * dev, n), F.lit(0.0)) + F.col(f"_m2_{c}")
+            fields += [F.sum(dev).over(w).alias("dev"), F.sum(sq).over(w).alias("sq"), F.col(f"_c_{c}").alias("c")]
+        if "min" in fns:
+            fields.append(F.min(f"_min_{c}").over(w).alias("min"))
+        if "max" in fns:
+            fields.append(F.max(f"_max_{c}").over(w).alias("max"))
+        if "last" in fns:
+            newest = F.last if w is upto else F.first
+            fields.append(newest(f"_last_{c}", ignorenulls=True).over(w).alias("last"))
+        return F.struct(*fields)
+
+    own = [running(c, fns, upto).alias(f"_own_{c}") for c, fns in needs.items()]
+    tail = F.struct(*[running(c, fns, downto).alias(c) for c, fns in needs.items()])
+    both = cut.select(*slim.columns, chunk, *own, tail.alias("_tail"))
+    rows = both.select(*slim.columns, chunk, *[f"_own_{c}" for c in needs], F.lit(1).alias("_kind"))
+    moved = both.select(
+        *keys, (F.col(_AT) + back).alias(_AT), (F.col(chunk) + 1).alias(chunk), "_tail", F.lit(0).alias("_kind")
+    )
+    ahead = (
+        Window.partitionBy(*part)
+        .orderBy(F.col(_AT).desc(), F.col("_kind").asc())
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    found = (
+        rows.unionByName(moved, allowMissingColumns=True)
+        .withColumn("_before", F.last("_tail", ignorenulls=True).over(ahead))
+        .where(F.col("_kind") == 1)
+    )
+    return found.select(
+        *slim.columns, *[_joined(F.col(f"_own_{r.col}"), F.col("_before")[r.col], r.fn).alias(r.out) for r in rolls]
+    )
+
+
+def _joined(own: Column, before: Column, fn: str) -> Column:
+    """One rolling value from the aggregates of both chunks."""
+    n0, n1 = F.coalesce(before["n"], F.lit(0)), own["n"]
+    total = own["sum"] + F.coalesce(before["sum"], F.lit(0.0))
+    if fn == "count":
+        return n0 + n1
+    if fn == "sum":
+        return F.when(n0 + n1 > 0, total)
+    if fn == "avg":
+        return F.try_divide(total, n0 + n1)
+    if fn == "min":
+        return F.least(own["min"], before["min"])
+    if fn == "max":
+        return F.greatest(own["max"], before["max"])
+    if fn == "last":
+        return F.coalesce(own["last"], before["last"])
+
+    def centred(x: Column) -> tuple[Column, Column]:
+        mean = F.coalesce(x["c"] + F.try_divide(x["dev"], x["n"]), F.lit(0.0))
+        spread = F.coalesce(x["sq"] - F.try_divide(x["dev"] * x["dev"], x["n"]), F.lit(0.0))
+        return mean, F.greatest(spread, F.lit(0.0))
+
+    (mean0, m0), (mean1, m1) = centred(before), centred(own)
+    gap = mean1 - mean0
+    m2 = m0 + m1 + F.coalesce(F.try_divide(gap * gap * n0 * n1, n0 + n1), F.lit(0.0))
+    return F.when(n0 + n1 > 1, F.sqrt(F.try_divide(m2, n0 + n1 - 1)))
