@@ -167,7 +167,8 @@ def feature_importance(model: HorizonModel, spark: SparkSession, k: int | None =
 def permutation_importance(
     df: DataFrame, model: HorizonModel, target: str, ids: Sequence[str], n: int = 2000, seed: int = 42
 ) -> DataFrame:
-    """Error increase when one feature at a time is shuffled, and the sign of its effect.
+    """Error increase when one feature at a time is shuffled, and the direction of its effect: the
+    correlation of the shuffled value with the prediction.
 
     The sample of at most ``n`` rows is ordered by a seeded hash; each row takes the shuffled value from
     its neighbour in that order. All features are tried in one scoring job.
@@ -187,7 +188,7 @@ def permutation_importance(
     ).select(
         _Y,
         "f",
-        F.element_at("own", F.greatest(F.col("f") + 1, F.lit(1))).alias("x"),
+        F.element_at("other", F.greatest(F.col("f") + 1, F.lit(1))).alias("x"),
         array_to_vector(
             F.transform("own", lambda v, i: F.when(i == F.col("f"), F.col("other")[i]).otherwise(v))
         ).alias(_X),
