@@ -8,7 +8,7 @@ from ..plans.features import build_features
 from ..plans.furnace import CLEANING, CONTRACT, FEATURES, FURNACE, PI, TP, TRACKED, TT, VALIDITY
 from ..plans.silver import build_silver
 from ..plans.spec import CleaningStep
-from ..plans.staging import staged
+from ..sources.staging import staged
 from .base import (
     SENSOR_SQL,
     TARGET_SQL,

@@ -37,7 +37,7 @@ from ..plans.furnace import (
     SCENARIOS,
 )
 from ..plans.silver import build_silver
-from ..plans.staging import staged
+from ..sources.staging import staged
 from .base import plant_sensors, plant_targets, query, table
 
 SENSORS = ["Si", *CONTRACT.sensors]

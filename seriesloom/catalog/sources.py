@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions import parse_ts
 from ..operators.quality import require_rows
 from ..plans.furnace import CONTRACT
-from ..plans.staging import stage_folder
+from ..sources.staging import stage_folder
 from ..sources.contract import check_contract, conform
 from ..sources.files import (
     export_results,

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.staging import stage_folder
+from ..sources.staging import stage_folder
 from ..sources.files import read_table
 from ..sources.messages import encode_json, read_stream
 from ..streaming.ingest import Topic, ingest_available, write_stream

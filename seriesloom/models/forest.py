@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.quantiles import exact_quantiles
-from ..plans.staging import staged
+from ..sources.staging import staged
 
 _NODE = "tree int, node int, feature int, split double, left int, right int, size int"
 _BITS = 1 << 30

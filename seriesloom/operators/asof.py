@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import epoch_us, minutes_between
-from .blocks import DAY, MICROS, assign_blocks, left_lookup
+from .blocks import MICROS, WIDE, assign_blocks, left_lookup
 
 _SIDE, _R, _L, _T, _BLK, _US, _COPIES = "_side", "_right", "_left", "_tie", "_block", "_micros", "_copies"
 _SALTS = 64
@@ -23,7 +23,7 @@ def asof_join(
     direction: str = "backward",
     tolerance_s: float | None = None,
     tie: Sequence[str] = (),
-    width_s: int = 7 * DAY,
+    width_s: int = WIDE,
     max_rows: int | None = 4_000_000,
 ) -> DataFrame:
     """Join every left row with the nearest right row at or before it (``backward``), at or after it

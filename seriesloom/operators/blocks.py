@@ -28,6 +28,7 @@ from ..functions import epoch_s, epoch_us
 HOUR = 3600
 DAY = 24 * HOUR
 MICROS = 1_000_000
+WIDE = 365 * DAY  # block width where hot blocks are cut anyway: short series then need no extra rows
 
 _BLK, _CORE, _S, _US = "_block", "_core", "_sec", "_micros"
 _FAN = 1024
@@ -197,14 +198,15 @@ def over_blocks(
     ``stages`` are applied one after the other, each to the columns of the ones before it.
     ``before``/``after`` say how many rows, ``back_s``/``fwd_s`` how many seconds, the frames reach
     beyond a row. ``unique`` promises one row per series and second: it bounds a block by its width
-    and is required for time frames (``rolling`` reduces other input to that form). ``uses`` names
+    and is required for time frames (``rolling`` reduces other input to that form). Without it, blocks
+    above ``max_rows`` rows are cut; rows of one series and microsecond stay together. ``uses`` names
     the columns the stages read, so that extra rows carry no others. Rows without a time are left out.
     """
     if (back_s or fwd_s) and not unique:
         raise ValueError("time frames need one row per series and second")
     keys = list(keys)
     ranged = bool(back_s or fwd_s)
-    width = width_s or max(4 * (back_s + fwd_s), 7 * DAY)
+    width = width_s or (max(4 * (back_s + fwd_s), 30 * DAY) if unique else WIDE)
     src = df.where(F.col(ts).isNotNull())
     blocked, _ = assign_blocks(src, epoch_us(ts), keys, width, None if unique else max_rows)
     blocked = blocked.withColumn(_S, epoch_s(ts))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.staging import staged
 from .blocks import Frames, over_blocks
 from .quantiles import exact_quantiles
 from .windows import lead_gap, lead_stage
@@ -92,8 +93,10 @@ def interval_stats(
     probs: Sequence[float] = (0.0, 0.25, 0.5, 0.75, 1.0),
     **blocks,
 ) -> DataFrame:
-    """Quantiles of the hours between consecutive rows, one row per probability."""
-    timed = lead_gap(df, ts, keys, tie, hours="_h", **blocks).select("_h")
+    """Quantiles of the hours between consecutive rows, one row per probability.
+
+    The quantiles take several passes, so the intervals are stored first."""
+    timed = staged(lead_gap(df, ts, keys, tie, hours="_h", **blocks).select("_h"))
     values = exact_quantiles(timed, ["_h"], probs)["_h"]
     rows = list(zip([float(p) for p in probs], values))
     return df.sparkSession.createDataFrame(rows, "prob double, hours double")

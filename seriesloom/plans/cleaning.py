@@ -25,7 +25,7 @@ def cascade_conditions(
     """The condition of every step, with its quantile bounds as literals.
 
     Each step's quantiles are taken from the rows the steps before it left, so the frame is read several
-    times: pass one that is stored, not one that is expensive to compute (see ``staging.staged``).
+    times: pass one that is stored, not one that is expensive to compute (see ``sources.staging``).
     """
     conditions: dict[str, Column] = {}
     for step in steps:

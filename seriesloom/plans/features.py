@@ -23,7 +23,7 @@ from ..operators.windows import (
     velocity_stage,
 )
 from .spec import FeatureSpec
-from .staging import staged
+from ..sources.staging import staged
 
 
 def time_features(ts: str, pi: float | None = None) -> dict[str, Column]:
