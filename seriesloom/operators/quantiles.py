@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,28 +73,30 @@ def _order_statistics(
     ready: dict[tuple[str, int], _Range] = {}
     while ranges:
         asked = list(ranges)
-        sketches = []
+        shared: dict[tuple[str, _Range], list[int]] = {}
         for i, (c, r) in enumerate(asked):
-            g = ranges[c, r]
-            share, slack = (r - g.below + 0.5) / g.inside, 2.0 / _ACCURACY
-            ends = F.array(F.lit(max(0.0, share - slack)), F.lit(min(1.0, share + slack)))
-            sketches.append(F.percentile_approx(F.when(g.holds(c), F.col(c)), ends, _ACCURACY).alias(f"s{i}"))
-        cuts = df.agg(*sketches).first()
-        tallies = []
-        for i, (c, _) in enumerate(asked):
-            a, b = cuts[f"s{i}"]
-            tallies.append(
-                F.struct(
-                    F.count_if(F.col(c) < F.lit(a)),
-                    F.count_if(F.col(c) <= F.lit(a)),
-                    F.count_if(F.col(c) < F.lit(b)),
-                    F.count_if(F.col(c) <= F.lit(b)),
-                ).alias(f"t{i}")
-            )
-        tally = df.agg(*tallies).first()
+            shared.setdefault((c, ranges[c, r]), []).append(i)
+        sketches = []
+        for (c, g), members in shared.items():
+            ends: list[float] = []
+            for i in members:
+                share, slack = (asked[i][1] - g.below + 0.5) / g.inside, 2.0 / _ACCURACY
+                ends += [max(0.0, share - slack), min(1.0, share + slack)]
+            values = F.when(g.holds(c), F.col(c))
+            sketches.append(F.percentile_approx(values, F.array(*[F.lit(e) for e in ends]), _ACCURACY))
+        cuts: dict[int, tuple[float, float]] = {}
+        for members, got in zip(shared.values(), df.agg(*sketches).first()):
+            cuts.update({i: (got[2 * j], got[2 * j + 1]) for j, i in enumerate(members)})
+        # each distinct cut is counted once, however many ranks share it
+        edges = sorted({(asked[i][0], v) for i, ab in cuts.items() for v in ab})
+        counted = df.agg(
+            *[F.count_if(F.col(c) < F.lit(v)) for c, v in edges],
+            *[F.count_if(F.col(c) <= F.lit(v)) for c, v in edges],
+        ).first()
+        tally = {e: (counted[k], counted[k + len(edges)]) for k, e in enumerate(edges)}
         for i, (c, r) in enumerate(asked):
-            g, (a, b) = ranges.pop((c, r)), cuts[f"s{i}"]
-            lt_a, le_a, lt_b, le_b = tally[f"t{i}"]
+            g, (a, b) = ranges.pop((c, r)), cuts[i]
+            (lt_a, le_a), (lt_b, le_b) = tally[c, a], tally[c, b]
             if r < lt_a:
                 new = _Range(g.lo, a, g.below, le_a - g.below)
             elif r < le_b:
@@ -105,27 +107,33 @@ def _order_statistics(
             settled = new.inside <= direct_rows or new.lo == new.hi or new.inside == g.inside
             (ready if settled else ranges)[c, r] = new
 
+    spans = list(dict.fromkeys((c, g) for (c, _), g in ready.items()))
     inside = F.array(
         *[
-            F.when(g.holds(c), F.struct(F.lit(i).alias("id"), F.col(c).cast("double").alias("v")))
-            for i, ((c, _), g) in enumerate(ready.items())
+            F.when(g.holds(c), F.struct(F.lit(k).alias("id"), F.col(c).cast("double").alias("v")))
+            for k, (c, g) in enumerate(spans)
         ]
     )
-    offsets = {i: r - g.below for i, ((_, r), g) in enumerate(ready.items())}
-    upto = Window.partitionBy("id").orderBy("v")
-    rank = F.element_at(F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv]), F.col("id"))
-    picked = (
-        df.select(F.inline(F.array_compact(inside)))
-        .groupBy("id", "v")
-        .count()
-        .withColumn("upto", F.sum("count").over(upto))
-        .where(F.col("upto") > rank)
-        .groupBy("id")
-        .agg(F.min("v").alias("v"))
-        .collect()
+    upto = F.sum("count").over(Window.partitionBy("id").orderBy("v"))
+    ranked = df.select(F.inline(F.array_compact(inside))).groupBy("id", "v").count().withColumn("upto", upto)
+    place = {(c, r): (spans.index((c, g)), r - g.below) for (c, r), g in ready.items()}
+    offsets: dict[int, set[int]] = {}
+    for k, offset in place.values():
+        offsets.setdefault(k, set()).add(offset)
+    # the values whose run of copies covers one of the wanted places
+    hits = reduce(
+        or_,
+        [
+            (F.col("id") == k) & (F.col("upto") > o) & (F.col("upto") - F.col("count") <= o)
+            for k, os in offsets.items()
+            for o in os
+        ],
     )
-    values = {row["id"]: row["v"] for row in picked}
-    return {key: values[i] for i, key in enumerate(ready)}
+    runs = ranked.where(hits).collect()
+    return {
+        key: next(x["v"] for x in runs if x["id"] == k and x["upto"] - x["count"] <= o < x["upto"])
+        for key, (k, o) in place.items()
+    }
 
 
 def quantile_bounds(

@@ -53,7 +53,8 @@ def stream_refresh(
 
     A row is emitted once the watermark has passed it, in time order per series, so late and shuffled
     input gives the result of the batch operators. Per series the state holds the rows inside the
-    watermark delay and two earlier values per column.
+    watermark delay and two earlier values per column. A series is handled by one task per micro-batch,
+    so the rate limit of the source bounds what a hot series brings there.
     """
     cols, keys = list(cols), list(keys)
     kind = {f.name: f.dataType for f in sdf.schema.fields}
