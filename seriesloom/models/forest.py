@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,22 +60,29 @@ class Forest:
     trees: tuple[np.ndarray, ...]
     sample: int
 
-    def anomaly_score(self, x: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(x))
-        at = np.arange(len(x))
-        for t in self.trees:
-            node = np.zeros(len(x), dtype=int)
-            depth = np.zeros(len(x))
-            while True:
-                f = t["feature"][node]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                go = x[at, np.maximum(f, 0)] <= t["split"][node]
-                node = np.where(inner, np.where(go, t["left"][node], t["right"][node]), node)
-                depth += inner
-            total += depth + _path(t["size"][node])
-        return np.exp2(-total / len(self.trees) / max(float(_path(np.array(self.sample))), 1e-12))
+
+def _rate(trees: Sequence[np.ndarray], sample: int, x: np.ndarray) -> np.ndarray:
+    """Anomaly score of each row of ``x``: all rows walk down one tree after the other."""
+    total = np.zeros(len(x))
+    at = np.arange(len(x))
+    for t in trees:
+        node = np.zeros(len(x), dtype=int)
+        depth = np.zeros(len(x))
+        while True:
+            f = t["feature"][node]
+            inner = f >= 0
+            if not inner.any():
+                break
+            go = x[at, np.maximum(f, 0)] <= t["split"][node]
+            node = np.where(inner, np.where(go, t["left"][node], t["right"][node]), node)
+            depth += inner
+        total += depth + _path(t["size"][node])
+    return np.exp2(-total / len(trees) / max(float(_path(np.array(sample))), 1e-12))
+
+
+# Tasks get the helpers above together with the function that calls them, so that the workers do not
+# need this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def fit_forest(
@@ -128,14 +137,14 @@ def fit_forest(
 
 def score_forest(df: DataFrame, forest: Forest, out: str = "anomaly_score") -> DataFrame:
     """Anomaly score in (0, 1] per row, in Arrow batches."""
-    shipped = df.sparkSession.sparkContext.broadcast(forest)
+    shipped = df.sparkSession.sparkContext.broadcast((forest.trees, forest.sample))
 
     @F.pandas_udf("double")
     def rate(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        f = shipped.value
+        trees, sample = shipped.value
         for series in batches:
             x = np.column_stack([s.to_numpy(float) for s in series])
-            yield pd.Series(f.anomaly_score(x))
+            yield pd.Series(_rate(trees, sample, x))
 
     inputs = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in forest.cols]
     return df.withColumn(out, rate(*inputs))
