@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +10,9 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def stage_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only for a local master without the setting."""
-    sc = spark.sparkContext
-    folder = spark.conf.get(_SETTING, None) or sc.getCheckpointDir()
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(f"set {_SETTING} to a folder all executors can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="seriesloom-"))
-        folder = sc.getCheckpointDir()
-    return folder
+    """The shared folder that the cluster names, else one under the warehouse, which all executors reach too."""
+    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged"
 
 
 def staged(df: DataFrame) -> DataFrame:
