@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Mapping
+from types import ModuleType
 from typing import Any
 
 import pyarrow as pa
@@ -49,3 +51,27 @@ def with_computed(
             yield pa.RecordBatch.from_arrays(arrays, names + arrow.names)
 
     return df.mapInArrow(run, schema)
+
+
+def per_process(key: Any, build: Callable[[], Any]) -> Any:
+    """What ``build`` returns, kept under ``key`` as long as the Python process lives.
+
+    Functions are shipped by value, so a module of this package has no state that outlasts a task.
+    """
+    held = sys.modules.setdefault("_seriesloom_worker", ModuleType("_seriesloom_worker")).__dict__
+    if key not in held:
+        held[key] = build()
+    return held[key]
+
+
+def portions(rows: list[bytes], most: int = 2 << 20) -> Iterator[list[bytes]]:
+    """Consecutive rows of about ``most`` bytes at a time; a longer row comes alone."""
+    part, size = [], 0
+    for row in rows:
+        if part and size + len(row) > most:
+            yield part
+            part, size = [], 0
+        part.append(row)
+        size += len(row)
+    if part:
+        yield part

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from ..catalog.base import Query, table
+from .bpe import encode_decode_digests
+from .packing import pack
 from .quality_bands import quality_bands
 from .sharding import shuffled_shards
 from .simhash_gray import simhash_groups
+from .token_counts import token_counts
+
+#: Where the vocabulary files of public tokenizers are.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+WORDS, BYTES = f"{TOKENIZERS}/word_bpe_49k.json", f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -23,6 +32,12 @@ def op4_simhash_near_dedup(spark, sf):
     return simhash_groups(table(spark, sf, "documents"))
 
 
+@_query
+def op6_bpe(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return encode_decode_digests(docs, WORDS).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 @_query
 def op7_sharding(spark, sf):
     docs = table(spark, sf, "documents")
@@ -38,6 +53,18 @@ def op7_sharding(spark, sf):
     )
 
 
+@_query
+def op8_packing(spark, sf):
+    docs = table(spark, sf, "documents")
+    ids_crc32 = F.crc32("ids").alias("ids_crc32")
+    return pack(docs, WORDS).select("doc_id", "start", "length", ids_crc32, "doc_tokens", "sequence_id", "offset")
+
+
+@_query
+def op9_token_counts(spark, sf):
+    return token_counts(table(spark, sf, "documents"), BYTES, fields=("source", "lang", "text"))
+
+
 @_query
 def op10_quality_rules(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
