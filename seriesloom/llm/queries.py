@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..catalog.base import Query, table
 from .bpe import encode_decode_digests
+from .embedding_pairs import embedding_links
 from .packing import pack
 from .quality_bands import quality_bands
 from .sharding import shuffled_shards
@@ -27,6 +28,11 @@ def _query(fn: Query) -> Query:
     return fn
 
 
+@_query
+def op1_embedding_near_dedup(spark, sf):
+    return embedding_links(table(spark, sf, "embeddings"))
+
+
 @_query
 def op4_simhash_near_dedup(spark, sf):
     return simhash_groups(table(spark, sf, "documents"))
