@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..catalog.base import Query, table
 from .bpe import encode_decode_digests
 from .embedding_pairs import embedding_links
+from .html_text import fit, main_text
 from .packing import pack
 from .quality_bands import quality_bands
 from .sharding import shuffled_shards
@@ -38,6 +39,13 @@ def op4_simhash_near_dedup(spark, sf):
     return simhash_groups(table(spark, sf, "documents"))
 
 
+@_query
+def op5_html_extraction(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    found = main_text(pages, fit(pages))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @_query
 def op6_bpe(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
