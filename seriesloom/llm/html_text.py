@@ -177,23 +177,16 @@ def parse(source: str) -> Page:
 
 
 def _looks(page: Page) -> list[tuple[str, str]]:
-    """Of each node: size of its own text, and how much of it is links or whether it ends like a sentence; of a
-    node without own text, the share of the page's text outside links that lies below it."""
+    """Of each node: size of its own text, and how much of it is links or whether it ends like a sentence."""
     size, linked, closed = [0] * len(page.parent), [0] * len(page.parent), [False] * len(page.parent)
     for n, t, k in page.blocks:
         size[n] += len(t)
         linked[n] += k
         closed[n] |= t[-1] in ".!?…\"'”»。"
-    plain = [s - k for s, k in zip(size, linked)]
-    for i in range(len(plain) - 1, 0, -1):
-        plain[page.parent[i]] += plain[i]
     out = []
-    for s, k, c, below in zip(size, linked, closed, plain):
-        if not s:
-            out.append(("0", "most" if 2 * below > plain[0] else "some" if 10 * below > plain[0] else "few"))
-            continue
-        length = "s" if s < 25 else "m" if s < 100 else "l" if s < 400 else "x"
-        out.append((length, "link" if 3 * k > s else "end" if c else "open"))
+    for s, k, c in zip(size, linked, closed):
+        length = "" if not s else "s" if s < 25 else "m" if s < 100 else "l" if s < 400 else "x"
+        out.append((length, "" if not s else "link" if 3 * k > s else "end" if c else "open"))
     return out
 
 
@@ -225,6 +218,7 @@ _AROUND = (
 _INSIDE = (
     '<section id="comments"><h2>{a}</h2><div class="comment"><p>{b}</p></div><div><p>{b}</p></div></section>',
     '<form action="#"><p>{b}</p><label>{a}</label></form>', '<div class="share"><p>{a}</p></div>', '<aside><p>{b}</p></aside>',
+    '<nav><ul><li><a href="#">{a}</a></li></ul></nav>', '<header><p>{b}</p></header>', '<footer><p>{b}</p></footer>',
     '<div class="related"><ul><li><a href="#">{a}</a></li></ul></div>', '<div class="newsletter"><h3>{a}</h3><p>{b}</p></div>',
 )
 _MORE = (
@@ -294,7 +288,7 @@ class Model:
         return [b for _, b in belief]
 
 
-def fit(pages: DataFrame, source: str = "html", sample: int = 2000, smoothing: float = 0.5, weight: float = 0.5) -> Model:
+def fit(pages: DataFrame, source: str = "html", sample: int = 2000, smoothing: float = 0.5, weight: float = 1.0) -> Model:
     """Potentials counted over labelled pages: at most about ``sample`` pages with a main element, chosen by
     hash, each as it is and once more in made-up surroundings. ``weight`` tempers the text of a node, whose
     features depend on each other. Counts are made on the executors; what comes back has a row a feature."""
@@ -314,7 +308,8 @@ def fit(pages: DataFrame, source: str = "html", sample: int = 2000, smoothing: f
                     if labels is None:
                         continue
                     for i, (look, label) in enumerate(zip(_looks(p), labels)):
-                        found["look", look[0], look[1], False, label] += 1
+                        if look[0]:  # containers tell nothing by themselves
+                            found["look", look[0], look[1], False, label] += 1
                         if i:
                             found["pair", p.kind[i], p.hint[i], labels[p.parent[i]], label] += 1
         if found:
