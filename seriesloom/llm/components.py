@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.staging import staged
+from .storing import stored as staged
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.staging import staged
+from .storing import stored as staged
 from .components import components
 from .unions import smallest_labels
 

@@ -10,6 +10,7 @@ from ..catalog.base import Query, table
 from .bpe import encode_decode_digests
 from .embedding_pairs import embedding_links
 from .html_text import fit, main_text
+from .line_dedup import line_dedup
 from .packing import pack
 from .quality_bands import quality_bands
 from .sharding import shuffled_shards
@@ -34,6 +35,11 @@ def op1_embedding_near_dedup(spark, sf):
     return embedding_links(table(spark, sf, "embeddings"))
 
 
+@_query
+def op3_line_dedup(spark, sf):
+    return line_dedup(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @_query
 def op4_simhash_near_dedup(spark, sf):
     return simhash_groups(table(spark, sf, "documents"))

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.staging import staged
+from .storing import stored as staged
 from .batches import texts, with_computed
 from .components import components
 from .unions import smallest_labels
