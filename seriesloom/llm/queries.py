@@ -12,6 +12,7 @@ from .embedding_pairs import embedding_links
 from .html_text import fit, main_text
 from .line_dedup import line_dedup
 from .packing import pack
+from .pitman_yor import lm_scores
 from .quality_bands import quality_bands
 from .sharding import shuffled_shards
 from .simhash_gray import simhash_groups
@@ -35,6 +36,11 @@ def op1_embedding_near_dedup(spark, sf):
     return embedding_links(table(spark, sf, "embeddings"))
 
 
+@_query
+def op2_lm_scoring(spark, sf):
+    return lm_scores(table(spark, sf, "documents"))
+
+
 @_query
 def op3_line_dedup(spark, sf):
     return line_dedup(table(spark, sf, "documents").select("doc_id", "text"))
