@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import heapq
 import math
+import os
+import re
 from bisect import insort
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
@@ -97,22 +99,32 @@ def cuts(n: int, capacity: int, piece: int) -> Iterator[tuple[int, int]]:
         yield whole * capacity + s, e - s
 
 
+#: Words of plain Latin letters, which the vocabulary's normaliser keeps letters and its pre-tokenizer keeps
+#: whole, with the punctuation behind them, which is a word of its own. U+0130 becomes two characters.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ſ]+)([.,;:!?]*)")
+
+
 class _Ids:
-    """Ids of texts by the tokenizers library, which is asked once for each piece between white space.
+    """Ids of texts by the tokenizers library, which is asked once for each word.
 
     White space ends every token of this vocabulary and its normaliser works on characters, so the ids of a
-    text are those of its pieces. What is remembered is bounded by ``most`` pieces.
+    text are those of its pieces between white space. Plain words are encoded side by side as one text, whose
+    ids are cut where a token ends a word. What is remembered is bounded by ``most`` pieces.
     """
 
     def __init__(self, spec: str, most: int = 600_000):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        mark = self.tokenizer.model.end_of_word_suffix
+        if not mark:
+            raise ValueError("the vocabulary has no end-of-word mark")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(mark)]] = True
         self.known: dict[bytes, bytes] = {}
         self.most = most
 
@@ -124,16 +136,43 @@ class _Ids:
             return data.split()
         return data.lower().split()
 
+    def _encode(self, chunks: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
+        return [np.array(x.ids, "<u4") for x in found]
+
+    def _learn(self, new: list[bytes]) -> None:
+        known = self.known
+        plain: dict[str, None] = {}
+        other: list[str] = []
+        joined: list[tuple[bytes, str, str]] = []
+        for chunk in new:
+            text = chunk.decode()
+            word = _PLAIN.fullmatch(text)
+            if not word:
+                other.append(text)
+                continue
+            stem, tail = word.groups()
+            plain[stem] = None
+            if tail:
+                joined.append((chunk, stem, tail))
+        tails = {t for _, _, t in joined}
+        other += [t for t in tails if t.encode() not in known]
+        for text, ids in zip(other, self._encode(other)):
+            known[text.encode()] = ids.tobytes()
+        words = [w for w in map(str.encode, plain) if w not in known]
+        if words:
+            ids = self._encode([b" ".join(words).decode()])[0]
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            flat = ids.tobytes()
+            known.update(zip(words, (flat[s:e] for s, e in zip([0, *cuts], cuts)), strict=True))
+        for chunk, stem, tail in joined:
+            known[chunk] = known[stem.encode()] + known[tail.encode()]
+
     def __call__(self, rows: list[bytes]) -> list[bytes]:
         chunks = [self._chunks(x) for x in rows]
         if len(self.known) > self.most:
             self.known.clear()
-        new = list(set().union(*chunks).difference(self.known))
-        found = self.tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False)
-        sizes = [len(x) for x in found]
-        flat = np.fromiter((i for x in found for i in x.ids), "<u4", sum(sizes)).tobytes()
-        ends = (np.cumsum(sizes) * 4).tolist() if new else []
-        self.known.update(zip(new, (flat[e - 4 * s : e] for s, e in zip(sizes, ends))))
+        self._learn(list(set().union(*chunks).difference(self.known)))
         return [b"".join(map(self.known.__getitem__, c)) for c in chunks]
 
 
