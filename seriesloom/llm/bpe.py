@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-import unicodedata
+import re
 from collections.abc import Callable, Mapping
 from typing import Any
 
@@ -13,13 +13,14 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from .batches import per_process, texts, with_computed
 
 _END = "\0"  # stands for the vocabulary's end-of-word mark; byte symbols never use it
 _NEVER = 1 << 62
-#: White space as the pattern language of the vocabulary files has it.
-_SPACE = r"\t-\r \x85\xa0  -     　"
+#: Characters beyond U+017F, whose classes and compositions depend on the version of Unicode.
+_FOREIGN = re.compile("[^\0-\u017f]")
 
 
 def _byte_symbols() -> list[str]:
@@ -45,7 +46,9 @@ class Vocabulary:
         self.texts = {**{i: t for t, i in ids.items()}, **{i: t for t, i in self.special.items()}}
         self.n = max(self.texts) + 1
         self.symbols = _byte_symbols()
-        self.pattern = regex.compile(split["pattern"]["Regex"].replace(r"\s", _SPACE))
+        self.pattern = regex.compile(split["pattern"]["Regex"])
+        library = Tokenizer.from_str(spec)
+        self.normalise, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.specials = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
 
         self.left, self.right = list(range(self.n)), list(range(self.n))
@@ -129,13 +132,21 @@ class Vocabulary:
         return out
 
     def chunk(self, data: bytes) -> bytes:
-        """Little-endian 32-bit ids of normalised text without ASCII white space."""
+        """Little-endian 32-bit ids of text without ASCII white space.
+
+        Characters up to U+017F are lower-cased and split into words here. For others the library's normaliser
+        and splitter are asked, so that both go by one version of Unicode.
+        """
+        text = data.decode()
+        if _FOREIGN.search(text):
+            words = [w for w, _ in self.split(self.normalise(text))]
+        else:
+            words = ["".join([self.symbols[b] for b in w.encode()]) for w in self.pattern.findall(text.lower())]
         out = []
-        for word in self.pattern.findall(data.decode()):
+        for word in words:
             ids = self.words.get(word)
             if ids is None:
-                symbols = "".join([self.symbols[b] for b in word.encode()])
-                ids = self.words[word] = np.array(self.merge(symbols), "<u4").tobytes()
+                ids = self.words[word] = np.array(self.merge(word), "<u4").tobytes()
             out.append(ids)
         return b"".join(out)
 
@@ -149,12 +160,6 @@ class _Chunks(dict):
         return ids
 
 
-def _normalised(text: str) -> bytes:
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # capital sigma, at a word's end too
-    return text.lower().encode()
-
-
 class Encoder:
     """Ids of whole texts; what it remembers of words is bounded by ``most`` entries a table."""
 
@@ -163,7 +168,9 @@ class Encoder:
         self.chunks = _Chunks(vocabulary)
 
     def _plain(self, text: str) -> bytes:
-        return b"".join(map(self.chunks.__getitem__, _normalised(text).split()))
+        if not _FOREIGN.search(text):
+            text = text.lower()  # fewer different pieces
+        return b"".join(map(self.chunks.__getitem__, text.encode().split()))
 
     def __call__(self, text: str) -> np.ndarray:
         v = self.vocabulary
