@@ -7,6 +7,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .storing import stored
+
 
 def shuffled_shards(
     df: DataFrame,
@@ -46,19 +48,16 @@ def shuffled_shards(
     if not parts.isEmpty():
         part = F.pmod(F.xxhash64("number"), F.coalesce("parts", F.lit(1)))
         rows = rows.join(parts, "bucket", "left").withColumn("bucket", F.col("bucket") + buckets * part)
-    places = (
-        rows.groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
-        # a row for each bucket, which are bytes / bucket_bytes
-        .select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("first"))
-    )
-    held = (
+    held = stored(
         rows.repartition(buckets, "bucket")
         .sortWithinPartitions("bucket", "order")
         .groupBy("bucket")
         .agg(F.collect_list("row").alias("rows"))
-        .select("bucket", F.shuffle("rows", seed).alias("rows"))
+        .select("bucket", F.size("rows").alias("n"), F.shuffle("rows", seed).alias("rows"))
     )
+    # a row for each bucket, which are bytes / bucket_bytes
+    first = F.sum("n").over(Window.orderBy("bucket")) - F.col("n")
+    places = held.select("bucket", first.alias("first"))
     place = F.col("first") + F.col("i")
     shard = F.pmod(place, F.lit(n_shards))
     return (
