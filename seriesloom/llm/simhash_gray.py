@@ -136,8 +136,10 @@ def linked_labels(codes: np.ndarray, distance: int, leaf: int = 64, fan: int = 1
         a, b = a[fits], b[fits]
         near = np.bitwise_count(code[a] ^ code[b]) <= distance
         labels = smallest_labels(n, a[near], b[near], labels)
+    lowest = np.full(n, n)
+    np.minimum.at(lowest, labels, order)
     out = np.empty(n, np.int64)
-    out[order] = order[labels]
+    out[order] = lowest[labels]
     return out
 
 

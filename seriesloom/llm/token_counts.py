@@ -37,7 +37,7 @@ def allocate(ends: np.ndarray, bounds: np.ndarray, rule: str = "most") -> tuple[
     ``last`` byte. Empty sections have no tokens.
     """
     n = len(bounds)
-    starts = np.concatenate([[0], ends[:-1]])
+    starts = np.concatenate([[0], ends])[:-1]
     owner = np.searchsorted(bounds, starts, "right")
     other = np.searchsorted(bounds, ends - 1, "right")
     across = np.flatnonzero(owner != other)
