@@ -4,111 +4,160 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
 from .storing import sent_whole, stored
 
-#: Letters whose counts, each modulo 16, make a line's signature.
-_LETTERS = "eanirtso"
+_SOON = 32
+_BLOCK = 16  # characters in a block of the hashes that find where two lines begin to differ
 
 
 def _cut(n: Column, i: int, parts: int) -> Column:
     return F.floor(n * i / parts).cast("int")
 
 
-def _signature(line: Column) -> Column:
-    lower = F.lower(line)
-    counts = [F.pmod(F.octet_length(lower) - F.octet_length(F.replace(lower, F.lit(c), F.lit(""))), F.lit(16)) for c in _LETTERS]
-    return reduce(lambda a, b: a * 16 + b, [c.cast("long") for c in counts])
+def _char(text: Column, i: Column) -> Column:
+    """The i-th character, from 0, of a text in UTF-32."""
+    return F.substring(text, 4 * i + 1, F.lit(4))
 
 
-def _signature_distance(a: Column, b: Column) -> Column:
-    """At most twice the edit distance: an edit changes the counts of two letters by one."""
-    parts = []
-    for i in range(len(_LETTERS)):
-        d = F.shiftright(a, 4 * i).bitwiseAND(F.lit(15)) - F.shiftright(b, 4 * i).bitwiseAND(F.lit(15))
-        d = d.bitwiseAND(F.lit(15))
-        parts.append(F.least(d, 16 - d))
-    return reduce(lambda x, y: x + y, parts)
+def _size(text: Column) -> Column:
+    return F.shiftright(F.octet_length(text), 2)
 
 
-def within_edits(a: Column, b: Column, edits: int) -> Column:
-    """Whether two arrays of characters are within ``edits`` insertions, deletions and replacements.
+def within_edits(a: Column, b: Column, edits: int, skip: Column | None = None) -> Column:
+    """Whether two texts in UTF-32 are within ``edits`` insertions, deletions and replacements.
 
     Bit p of the d-th number tells whether the first j - edits + p characters of ``a`` and the first j of ``b``
     are within d edits; only these 2 edits + 1 diagonals can matter. All bits of a column come from the column
-    before by shifts: a match keeps d, a replacement, an insertion or a deletion takes a bit of d - 1.
+    before by shifts: a match keeps d, a replacement, an insertion or a deletion takes a bit of d - 1. Once no
+    bit is left, the columns that follow are passed over. The first ``skip`` characters are known to be equal.
+    The numbers lie side by side in one, the d-th at bit d (2 edits + 1).
     """
+    skip = F.lit(0) if skip is None else skip
     width = 2 * edits + 1
     band = (1 << width) - 1
 
     def column(state: Column, j: Column) -> Column:
-        hits = [F.when(F.get(a, j - edits - 1 + p) == F.get(b, j - 1), 1 << p).otherwise(0) for p in range(width)]
-        match = reduce(lambda x, y: x + y, hits)
-        fields, below_old, below_new = [], None, None
-        for d in range(edits + 1):
-            old = state[f"r{d}"]
-            new = old.bitwiseAND(match)
-            if d:
-                new = new.bitwiseOR(below_old).bitwiseOR(F.shiftright(below_old, 1)).bitwiseOR(F.shiftleft(below_new, 1))
-            new = new.bitwiseAND(F.lit(band))
-            fields.append(new.cast("int").alias(f"r{d}"))
-            below_old, below_new = old, new
-        return F.struct(*fields)
-
-    # before the first character of b, i characters of a are i edits
-    start = F.struct(*[F.lit(sum(1 << (edits + i) for i in range(d + 1)) & band).alias(f"r{d}") for d in range(edits + 1)])
-    last = F.size(a) - F.size(b) + edits
-    columns = F.when(F.size(b) > 0, F.sequence(F.lit(1), F.size(b))).otherwise(F.array().cast("array<int>"))
-    end = F.aggregate(columns, start, column, lambda s: s[f"r{edits}"])
-    return (F.abs(F.size(a) - F.size(b)) <= edits) & (F.pmod(F.floor(end / F.pow(F.lit(2.0), last)), F.lit(2)) == 1)
-
-
-def edit_links(lines: DataFrame, edits: int = 2, min_chars: int = 30) -> DataFrame:
+        own = _char(b, j)
+        hits = F.lit(0).cast("long")
+        for p in range(width):
+            i = j - edits + p
+            hits = hits + F.when((i >= skip) & (_char(a, i) == own), F.lit(1 << p).cast("long")).otherwise(F.lit(0).cast("long"))
+
+        def step(match: Column) -> Column:
+            new, all_new = None, F.lit(0).cast("long")
+            for d in range(edits + 1):
+                old = F.shiftright(state, d * width).bitwiseAND(F.lit(band))
+                bits = old.bitwiseAND(match)
+                if d:
+                    below = F.shiftright(state, (d - 1) * width).bitwiseAND(F.lit(band))
+                    bits = bits.bitwiseOR(below).bitwiseOR(F.shiftright(below, 1)).bitwiseOR(F.shiftleft(new, 1))
+                new = bits.bitwiseAND(F.lit(band))
+                all_new = all_new.bitwiseOR(F.shiftleft(new, d * width))
+            return all_new
+
+        # the matches are made once and handed on as the only element of an array
+        return F.when(state == 0, state).otherwise(F.get(F.transform(F.array(hits), step), F.lit(0)))
+
+    # before the first of b's characters, i characters of a are i edits
+    start = sum((sum(1 << (edits + i) for i in range(d + 1)) & band) << d * width for d in range(edits + 1))
+    size_a, size_b = _size(a), _size(b)
+    none = F.array().cast("array<int>")
+
+    def after(state: Column, first: Column, stop: Column) -> Column:
+        ahead = (state != 0) & (stop > first)
+        return F.aggregate(F.when(ahead, F.sequence(first, stop - 1)).otherwise(none), state, column)
+
+    # most pairs that are no link end within a few columns
+    soon = F.array(after(F.lit(start).cast("long"), skip, F.least(size_b, skip + _SOON)))
+    end = F.get(F.transform(soon, lambda state: after(state, skip + _SOON, size_b)), F.lit(0))
+    last = F.shiftright(end, edits * width).bitwiseAND(F.lit(band))
+    bit = F.element_at(F.array(*[F.lit(1 << p) for p in range(width)]), size_a - size_b + edits + 1)
+    return F.when(F.abs(size_a - size_b) <= edits, last.bitwiseAND(bit) != 0).otherwise(False)
+
+
+def _alike(x: Column, y: Column) -> Column:
+    """Characters at the beginning that two lines share, in whole blocks."""
+    same = F.zip_with(x["blocks"], y["blocks"], lambda u, v: u.eqNullSafe(v))
+    first = F.array_position(same, False).cast("int")
+    return F.when(first > 0, (first - 1) * _BLOCK).otherwise(F.least(F.size(x["blocks"]), F.size(y["blocks"])) * _BLOCK)
+
+
+def edit_links(lines: DataFrame, edits: int = 2, min_chars: int = 30, chunk: int = 64) -> DataFrame:
     """Links ``a`` - ``b`` between rows of ``lines`` (``id``, ``line``, distinct) within ``edits`` edits.
 
     A line is cut into edits + 1 segments, of which one stays as it is under that many edits. Each line stands
     in an index under its length and each segment, and looks up, for every length it can reach by deletions,
-    the substrings that can be that segment: the edits left and right of a kept segment limit its shift. A
-    letter-count signature drops pairs on the way that need more edits; the rest are verified by
-    ``within_edits``. Lines under ``min_chars`` code points link with nothing.
+    the substrings that can be that segment: the edits left and right of a kept segment limit its shift. Only
+    keys that lines meet under go on. The index lines of a key come in arrays of about ``chunk``, and each line
+    that looks the key up verifies one array at a time with ``within_edits``, so lines that share a segment
+    with many others give as many rows as there are arrays, and only links become rows of their own. Lines
+    under ``min_chars`` code points link with nothing.
     """
     parts = edits + 1
     n = F.char_length("line")
-    long = lines.where(n >= max(min_chars, parts)).select("id", "line", n.alias("n"), _signature(F.col("line")).alias("letters"))
+    long = lines.where(n >= max(min_chars, parts)).select("id", "line", n.alias("n"))
+    at = F.col("n")
 
-    def key(length: Column, i: int, start: Column, size: Column) -> Column:
-        return F.xxhash64(length, F.lit(i), F.substring("line", start + 1, size))
+    def entry(of_index: bool, fits: Column, length: Column, i: int, start: Column, size: Column) -> Column:
+        key = F.xxhash64(length, F.lit(i), F.substring("line", start + 1, size))
+        return F.when(fits, F.struct(key.alias("key"), F.lit(of_index).alias("of_index"), F.lit(i > 0).alias("later")))
 
-    at = F.col("n")
-    own = [key(at, i, _cut(at, i, parts), _cut(at, i + 1, parts) - _cut(at, i, parts)) for i in range(parts)]
-    index = long.select("id", "letters", F.explode(F.array(*own)).alias("key"))
-    looked = []
+    entries = []
     for shorter in range(edits + 1):
         length = at - shorter
         for i in range(parts):
             start, end = _cut(length, i, parts), _cut(length, i + 1, parts)
+            if not shorter:
+                entries.append(entry(True, F.lit(True), length, i, start, end - start))
             for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + edits - i) + 1):
+                if not shorter and not shift:
+                    continue  # its own place in the index, where equal-length lines meet it
                 first = start + shift
                 fits = (length >= max(min_chars, parts)) & (first >= 0) & (first + end - start <= at)
-                looked.append(F.when(fits, key(length, i, first, end - start)))
-    probes = long.select("id", "letters", F.explode(F.array(*looked)).alias("key")).where("key is not null")
-
-    x, y = index.alias("x"), probes.alias("y")
-    met = x.join(
-        y,
-        (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.id") != F.col("y.id"))
-        & (_signature_distance(F.col("x.letters"), F.col("y.letters")) <= 2 * edits),
+                entries.append(entry(False, fits, length, i, first, end - start))
+    rows = long.select("id", F.explode(F.array_compact(F.array(*entries))).alias("e")).select("id", "e.*")
+    group = Window.partitionBy("key")
+    met = rows.select(
+        "*",
+        F.min("id").over(group).alias("low"),
+        F.max("id").over(group).alias("high"),
+        F.count_if("of_index").over(group).alias("indexed"),
+    ).where("low < high and indexed > 0")
+    met = stored(met.select("key", "id", "of_index", "later", F.ceil(F.col("indexed") / chunk).cast("int").alias("chunks")))
+
+    needed = stored(met.select("id").distinct())
+    code = F.encode("line", "UTF-32").alias("code")
+    block = F.transform(
+        F.sequence(F.lit(0), F.floor(F.char_length("line") / _BLOCK).cast("int")),
+        lambda i: F.xxhash64(F.substring("code", 4 * _BLOCK * i + 1, F.lit(4 * _BLOCK))),
+    )
+    written = stored(
+        lines.join(sent_whole(needed), "id", "left_semi").select("id", "line", code).select("id", F.struct("code", block.alias("blocks")).alias("text"))
     )
-    pairs = stored(met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
-    needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    chars = stored(lines.join(sent_whole(needed), "id", "left_semi").select("id", F.split("line", "").alias("chars")))
-    one, two = chars.toDF("a", "one"), chars.toDF("b", "two")
-    verified = pairs.join(one, "a").join(two, "b").where(within_edits(F.col("one"), F.col("two"), edits))
-    return verified.select("a", "b")
+    index = met.where("of_index").join(written, "id").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+    index = index.groupBy("key", "chunk").agg(F.collect_list(F.struct("id", "text")).alias("held"))
+    probes = met.select("key", "id", "of_index", "later", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    met_again = probes.join(written, "id").join(index, ["key", "chunk"])
+
+    def linked(x: Column) -> Column:
+        y = F.col("text")
+        # of two lines in the index the later one looks the other up
+        other = F.when(F.col("of_index"), x["id"] < F.col("id")).otherwise(x["id"] != F.col("id"))
+
+        def verified(alike: Column) -> Column:
+            # lines that begin with the same segment meet under it, and are verified there
+            met_before = F.col("later") & (alike >= _cut(_size(x["text"]["code"]), 1, parts))
+            return ~met_before & within_edits(x["text"]["code"], y["code"], edits, alike)
+
+        return other & F.get(F.transform(F.array(_alike(x["text"], y)), verified), F.lit(0))
+
+    found = F.filter("held", linked)
+    links = met_again.select("id", F.explode(F.transform(found, lambda x: x["id"])).alias("other"))
+    return links.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
 def line_dedup(

@@ -44,17 +44,20 @@ def test_within_edits(spark):
     rng = random.Random(5)
     pairs = [(_mutated(rng, s, 2), s) for s in _lines(1, 0, 12)] + [("", ""), ("", "ab"), ("abc", ""), ("ab", "ba")]
     df = spark.createDataFrame(pairs, "a string, b string")
-    chars = [F.when(F.col(c) == "", F.array().cast("array<string>")).otherwise(F.split(c, "")).alias(c) for c in "ab"]
+    codes = [F.encode(c, "UTF-32") for c in "ab"]
     for k in (0, 1, 2, 3):
-        got = df.select("a", "b", within_edits(*chars, k).alias("near")).collect()
+        got = df.select("a", "b", within_edits(*codes, k).alias("near")).collect()
         assert all(r.near == (_edits(r.a, r.b) <= k) for r in got)
+    same = F.when(F.substring("a", 1, 3) == F.substring("b", 1, 3), F.least(F.char_length("a"), F.char_length("b"), F.lit(3))).otherwise(0)
+    got = df.select("a", "b", within_edits(*codes, 2, same).alias("near")).collect()
+    assert all(r.near == (_edits(r.a, r.b) <= 2) for r in got)
 
 
 def test_links(spark):
     for seed, low, high, edits in ((2, 6, 12, 2), (3, 9, 30, 2), (4, 5, 9, 1), (5, 12, 20, 3)):
         lines = _lines(seed, low, high)
         df = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
-        got = [(r.a, r.b) for r in edit_links(df, edits, 5).collect()]
+        got = [(r.a, r.b) for r in edit_links(df, edits, 5, chunk=7).collect()]
         long = [i for i, x in enumerate(lines) if len(x) >= 5]
         want = {(i, j) for i in long for j in long if i < j and _edits(lines[i], lines[j]) <= edits}
         assert len(got) == len(set(got)) and set(got) == want
@@ -93,3 +96,21 @@ def test_given_documents_without_edits(spark, sf):
                 left.append(line)
             seen.add(line)
         assert got[r.doc_id] == "\n".join(left)
+
+
+def test_lines_that_share_most(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(40)]
+    lines = set()
+    for _ in range(150):
+        own = list(words)
+        own[rng.randrange(40)] = "".join(rng.choices("abcdefgh", k=rng.randint(5, 7)))
+        line = " ".join(own)
+        lines |= {line, _mutated(rng, line, 1)}
+    lines = sorted(lines)
+    df = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    got = {(r.a, r.b) for r in edit_links(df, chunk=16).collect()}
+    near = lambda a, b: abs(len(a) - len(b)) <= 2 and _edits(a, b) <= 2
+    # a mutated line is next to its origin; other pairs are checked on a part
+    assert got >= {(i, j) for i in range(60) for j in range(i + 1, 60) if near(lines[i], lines[j])}
+    assert all(near(lines[i], lines[j]) for i, j in got)
