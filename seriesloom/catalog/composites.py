@@ -82,7 +82,7 @@ def silver_build_without_outliers(spark, sf):
     return round_all(_silver(spark, sf, drop_outliers=True), _SHOWN)
 
 
-def _gold_sql(keyed: bool) -> str:
+def gold_sql(keyed: bool) -> str:
     """CTEs ending in ``gold``."""
     p = "partition by line " if keyed else ""
     k = "line, " if keyed else ""
@@ -185,7 +185,7 @@ def _gold_select(keyed: bool) -> str:
     shown = ", ".join(
         c if c in _WHOLE else f"{rounded_sql(c, _GOLD[c])} as {c}" for c in FEATURES.order
     )
-    return f"with {_gold_sql(keyed)} select {k}{shown} from gold"
+    return f"with {gold_sql(keyed)} select {k}{shown} from gold"
 
 
 @query("feature_store", _gold_select(False))
@@ -196,7 +196,7 @@ def feature_store(spark, sf):
 @query("feature_store_keyed", _gold_select(True))
 def feature_store_keyed(spark, sf):
     silver = staged(_silver(spark, sf, keyed=True))
-    return round_all(build_features(silver, FEATURES, keys=["line"]), _GOLD)
+    return round_all(build_features(silver, FEATURES, keys=["line"], deduplicate=False), _GOLD)
 
 
 def _matched(spark, sf):

@@ -40,7 +40,7 @@ from ..operators.quality import (
 from ..operators.quantiles import trim_quantiles
 from ..operators.serving import classify_alert
 from ..operators.stats import count_where
-from ..plans.furnace import CLEANING, DEFAULTS, NOT_FEATURES, TP, TRUSTED, TT, VALIDITY
+from ..plans.furnace import CLEANING, CONTRACT, DEFAULTS, NOT_FEATURES, TP, TRUSTED, TT, VALIDITY
 from .base import SENSOR_SQL, plant_sensors, query, round_all, round_all_sql, rounded_sql, table
 
 _VALID = " and ".join(f"({r})" for r in VALIDITY)
@@ -171,7 +171,7 @@ def align(spark, sf):
     return round_all(df, ["clicks"])
 
 
-_IMPUTED = ["Fo", "dP", "Fb", "Tt1"]
+_IMPUTED = CONTRACT.sensors
 
 
 @query(
@@ -233,10 +233,13 @@ def alert_levels(spark, sf):
     return classify_alert(df, "p", "current").drop("p", "current")
 
 
-@query("sample_rows")
+@query(
+    "sample_rows",
+    "select event_id, user_id, value from events order by md5('42:' || event_id), event_id limit 2000",
+)
 def sample_rows(spark, sf):
     df = table(spark, sf, "events").select("event_id", "user_id", "value")
-    return sample_n(df, 2000, ["event_id"], seed=42, prefer="value")
+    return sample_n(df, 2000, ["event_id"], seed=42)
 
 
 @query(

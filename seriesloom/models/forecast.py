@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import epoch_us
 from ..operators.dedup import sample_n, top_k
+from ..sources.staging import staged
 from ..operators.quality import with_defaults
 from ..operators.quantiles import exact_quantiles
 from ..operators.serving import classify_alert
@@ -38,8 +39,32 @@ class HorizonModel:
     model: GBTRegressionModel
 
     def predict(self, df: DataFrame, out: str = "pred") -> DataFrame:
-        scored = self.model.setFeaturesCol(_X).setPredictionCol(out).transform(assemble(df, self.features))
-        return scored.drop(_X)
+        return self.on_vector(assemble(df, self.features), out).drop(_X)
+
+    def on_vector(self, df: DataFrame, out: str) -> DataFrame:
+        """Predictions for a frame with an assembled vector; the model itself is not changed."""
+        return self.model.copy().setFeaturesCol(_X).setPredictionCol(out).transform(df)
+
+
+def save_models(models: Mapping[int, HorizonModel], spark: SparkSession, path: str) -> None:
+    """One Spark ML model a horizon below ``path``, and a table of their horizons and feature orders."""
+    rows = [(h, list(m.features)) for h, m in sorted(models.items())]
+    for h, m in models.items():
+        m.model.write().overwrite().save(f"{path}/horizon={h}")
+    spark.createDataFrame(rows, "horizon int, features array<string>").coalesce(1).write.mode("overwrite").parquet(
+        f"{path}/features"
+    )
+
+
+def load_models(spark: SparkSession, path: str) -> dict[int, HorizonModel]:
+    """The models that ``save_models`` wrote."""
+    rows = spark.read.parquet(f"{path}/features").collect()
+    return {
+        r["horizon"]: HorizonModel(
+            r["horizon"], tuple(r["features"]), GBTRegressionModel.load(f"{path}/horizon={r['horizon']}")
+        )
+        for r in rows
+    }
 
 
 def fit_one(df: DataFrame, features: Sequence[str], target: str, seed: int = 42, **params) -> GBTRegressionModel:
@@ -121,29 +146,37 @@ def score(
     horizons: Sequence[int] | None = None,
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Prediction, delta against the current value, alert and message per row and horizon."""
+    """Prediction, delta against the current value, alert and message per row and horizon, in one pass."""
     kept = list(dict.fromkeys([*(keep if keep is not None else df.columns), current]))
-    parts = [
-        models[h].predict(df).select(*kept, F.lit(h).alias("horizon_hours"), "pred")
-        for h in (horizons or models)
-    ]
-    rated = classify_alert(reduce(DataFrame.unionByName, parts), "pred", current)
+    chosen = [models[h] for h in (horizons or models)]
+    wide, names = df, []
+    for features in dict.fromkeys(m.features for m in chosen):
+        wide = assemble(wide, features)
+        for m in chosen:
+            if m.features == features:
+                names.append((m.horizon, f"_pred_{len(names)}"))
+                wide = m.on_vector(wide, names[-1][1])
+        wide = wide.drop(_X)
+    found = F.array(*[F.struct(F.lit(h).alias("horizon_hours"), F.col(c).alias("pred")) for h, c in names])
+    long = wide.select(*kept, F.explode(found).alias("_f")).select(*kept, "_f.horizon_hours", "_f.pred")
+    rated = classify_alert(long, "pred", current)
     return rated.withColumn("status", F.lit("success")).drop("pred")
 
 
 def scenario_frame(
     spark: SparkSession,
-    scenarios: Sequence[tuple[str, float, float, Sequence[float]]],
+    scenarios: Sequence[tuple[str, str, float, float, Sequence[float]]],
     sensors: Sequence[str],
     defaults: Mapping[str, float],
 ) -> DataFrame:
     """Named operating regimes as rows, with defaults for the inputs they do not give."""
-    rows = [(name, [lo, hi], dict(zip(sensors, values))) for name, lo, hi, values in scenarios]
+    rows = [(name, text, [lo, hi], dict(zip(sensors, values))) for name, text, lo, hi, values in scenarios]
     df = spark.createDataFrame(
-        rows, "scenario string, expected_si_range array<double>, sensor_values map<string,double>"
+        rows,
+        "scenario string, description string, expected_si_range array<double>, sensor_values map<string,double>",
     )
     wide = df.select(
-        "scenario", "expected_si_range", *[F.col("sensor_values")[c].alias(c) for c in sensors]
+        "scenario", "description", "expected_si_range", *[F.col("sensor_values")[c].alias(c) for c in sensors]
     )
     return with_defaults(wide, defaults)
 
@@ -152,7 +185,7 @@ def score_scenarios(
     scenarios: DataFrame, models: Mapping[int, HorizonModel], current: str = "Si"
 ) -> DataFrame:
     """Prediction per scenario and horizon, and whether it falls in the expected range."""
-    rated = score(scenarios, models, current, keep=["scenario", "expected_si_range", current])
+    rated = score(scenarios, models, current, keep=["scenario", "description", "expected_si_range", current])
     lo, hi = F.col("expected_si_range")[0], F.col("expected_si_range")[1]
     return rated.withColumn("in_expected_range", F.col("prediction").between(lo, hi))
 
@@ -165,44 +198,59 @@ def feature_importance(model: HorizonModel, spark: SparkSession, k: int | None =
 
 
 def permutation_importance(
-    df: DataFrame, model: HorizonModel, target: str, ids: Sequence[str], n: int = 2000, seed: int = 42
+    df: DataFrame,
+    model: HorizonModel,
+    target: str,
+    ids: Sequence[str],
+    n: int | None = None,
+    seed: int = 42,
+    group_rows: int = 50_000,
+    stage: Callable[[DataFrame], DataFrame] = staged,
 ) -> DataFrame:
-    """Error increase when one feature at a time is shuffled, and the direction of its effect: the
-    correlation of the shuffled value with the prediction.
+    """Effect of each feature on the predictions of a model, from all rows with a known target.
 
-    The sample of at most ``n`` rows is ordered by a seeded hash; each row takes the shuffled value from
-    its neighbour in that order. All features are tried in one scoring job.
+    One feature at a time takes the value of another row. ``mae_increase`` is what that adds to the error,
+    ``mean_abs_effect`` how far it moves the prediction, ``mean_effect`` the same with a sign (positive if a
+    greater value raises the prediction), ``direction`` the correlation of the value with the prediction.
+
+    Rows are dealt into groups of about ``group_rows`` by a seeded hash and take values from the next row of
+    their group in hash order, so no task holds all of them. ``n`` limits the rows to a sample by hash. The
+    rows are stored through ``stage``, since every feature multiplies them.
     """
     cols = list(model.features)
-    picked = sample_n(df.where(F.col(target).isNotNull()), n, ids, seed, prefer=target)
+    known = df.where(F.col(target).isNotNull())
+    picked = known if n is None else sample_n(known, n, ids, seed)
     values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols])
-    place = Window.orderBy(F.xxhash64(F.lit(seed), *[F.col(c) for c in ids]), *ids)  # at most n rows
-    rows = picked.select(F.col(target).alias(_Y), values.alias("own"), F.row_number().over(place).alias("_rn"))
-    rows = rows.withColumn("other", F.lead("own").over(Window.orderBy("_rn")))
-    rows = rows.withColumn("other", F.coalesce("other", F.first("own").over(Window.orderBy("_rn"))))
-    tried = rows.select(
-        _Y,
-        "own",
-        "other",
-        F.explode(F.sequence(F.lit(-1), F.lit(len(cols) - 1))).alias("f"),
+    place = F.xxhash64(F.lit(seed), *[F.col(c) for c in ids])
+    slim = stage(picked.select(F.col(target).cast("double").alias(_Y), values.alias("own"), place.alias("_at"), *ids))
+    groups = max(1, -(-slim.count() // group_rows))
+    slim = slim.withColumn("_group", F.pmod(F.xxhash64("_at"), F.lit(groups)))
+    order = Window.partitionBy("_group").orderBy("_at", *ids)
+    first = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = slim.withColumn("other", F.coalesce(F.lead("own").over(order), F.first("own").over(first)))
+    plain = model.on_vector(rows.withColumn(_X, array_to_vector("own")), "plain").drop(_X)
+    tried = plain.select(
+        _Y, "own", "other", "plain", F.explode(F.sequence(F.lit(0), F.lit(len(cols) - 1))).alias("f")
     ).select(
         _Y,
         "f",
-        F.element_at("other", F.greatest(F.col("f") + 1, F.lit(1))).alias("x"),
+        "plain",
+        F.get("own", F.col("f")).alias("was"),
+        F.get("other", F.col("f")).alias("x"),
         array_to_vector(
-            F.transform("own", lambda v, i: F.when(i == F.col("f"), F.col("other")[i]).otherwise(v))
+            F.transform("own", lambda v, i: F.when(i == F.col("f"), F.get("other", i)).otherwise(v))
         ).alias(_X),
     )
-    scored = model.model.setFeaturesCol(_X).setPredictionCol("pred").transform(tried)
-    plain = scored.where(F.col("f") == -1)
-    base = plain.agg(F.avg(F.abs(F.col("pred") - F.col(_Y))).alias("m"))
-    per = scored.where(F.col("f") >= 0).groupBy("f").agg(
-        F.avg(F.abs(F.col("pred") - F.col(_Y))).alias("mae"), F.corr("x", "pred").alias("direction")
+    scored = model.on_vector(tried, "pred")
+    moved, error = F.col("plain") - F.col("pred"), F.abs(F.col("pred") - F.col(_Y))
+    per = scored.groupBy("f").agg(
+        F.avg(error - F.abs(F.col("plain") - F.col(_Y))).alias("mae_increase"),
+        F.avg(F.abs(moved)).alias("mean_abs_effect"),
+        F.avg(moved * F.signum(F.col("was") - F.col("x"))).alias("mean_effect"),
+        F.corr("x", "pred").alias("direction"),
     )
     names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("f") + 1)
-    return per.select(
-        names.alias("feature"), (F.col("mae") - base.scalar()).alias("mae_increase"), "direction"
-    )
+    return per.select(names.alias("feature"), "mae_increase", "mean_abs_effect", "mean_effect", "direction")
 
 
 def retrain_if_drift(
@@ -213,5 +261,5 @@ def retrain_if_drift(
     flag: str = "drift",
 ) -> tuple[Mapping[int, HorizonModel], bool]:
     """New models when the latest monitored row shows drift, the given ones otherwise."""
-    latest = monitored.agg(F.max_by(flag, ts).alias("f")).first()["f"]
+    latest = monitored.agg(F.max_by(flag, F.struct(ts, flag)).alias("f")).first()["f"]  # of equal times, drift
     return (train(), True) if latest == 1 else (models, False)

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.quantiles import exact_quantiles
@@ -101,19 +101,14 @@ def fit_forest(
 
     id_cols = [F.col(c) for c in ids]
     rank = F.xxhash64(F.lit(seed), F.col("tree"), *id_cols)
-    if n <= 4 * size:
-        offered = filled.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
-    else:
-        # every row is offered to a few trees chosen by hash, half as many again as the trees need in all
-        share = 1.5 * n_trees * size / n
-        slots = int(np.ceil(share))
-        chosen = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("slot"), *id_cols), F.lit(_BITS))
-        offered = (
-            filled.withColumn("slot", F.explode(F.sequence(F.lit(1), F.lit(slots))))
-            .where(chosen < int(_BITS * share / slots))
-            .withColumn("tree", F.pmod(F.xxhash64(F.lit(seed + 2), F.col("slot"), *id_cols), F.lit(n_trees)).cast("int"))
-            .dropDuplicates(["tree", *ids])
-        )
+    # each tree is offered half as many rows again as it needs, chosen by hash; small tables are offered whole
+    share = min(1.0, 1.5 * size / max(n, 1))
+
+    def offered_to(tree: Column) -> Column:
+        return F.pmod(F.xxhash64(F.lit(seed + 1), tree, *id_cols), F.lit(_BITS)) < int(_BITS * share)
+
+    trees_of = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), offered_to)
+    offered = filled.withColumn("tree", F.explode(trees_of))
     place = Window.partitionBy("tree").orderBy(rank, *ids)
     per_tree = (
         offered.withColumn("_rn", F.row_number().over(place)).where(F.col("_rn") <= size).select("tree", "_rn", *cols)

@@ -59,12 +59,13 @@ def sample_n(
     prefer: str | None = None,
     prefer_min: int = 100,
 ) -> DataFrame:
-    """At most ``n`` rows, chosen by the smallest seeded hash of ``ids``: the same rows on every run.
+    """At most ``n`` rows, chosen by the smallest MD5 of seed and ``ids``: the same rows on every run.
 
-    When more than ``prefer_min`` rows have a non-null ``prefer``, the choice is among those only.
+    With ``prefer`` (off by default), the choice is among the rows whose ``prefer`` is known if these are more
+    than ``prefer_min``.
     """
     if prefer is not None:
         known = df.where(F.col(prefer).isNotNull())
         if len(known.select(prefer).take(prefer_min + 1)) > prefer_min:
             df = known
-    return df.orderBy(F.xxhash64(F.lit(seed), *[F.col(c) for c in ids]), *ids).limit(n)
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in ids])), *ids).limit(n)

@@ -1,9 +1,9 @@
 """Exact quantiles (linear interpolation) of tables too large for one aggregation buffer, and trimming.
 
-Spark's exact ``percentile`` keeps every distinct value of a group in one task. It is used only up to
-``direct_rows`` rows. Beyond that, each quantile is bracketed with the mergeable approximate sketch,
-rows below the bracket are counted, and the bracket is narrowed until the values inside it are few
-enough for an exact pick. The answer is the same; every pass is a map-side reduced aggregation.
+Spark's exact ``percentile`` keeps every distinct value of a group in one task. Here each quantile is bracketed
+with the mergeable approximate sketch, rows below the bracket are counted, and the bracket is narrowed until the
+values inside it are few enough to be ranked. Every pass is a map-side reduced aggregation. How few is a size of
+work and never changes the answer.
 """
 
 from __future__ import annotations
@@ -16,7 +16,9 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DIRECT_ROWS = 2_000_000
+from ..functions import nan_to_null
+
+DIRECT_ROWS = 1_000_000
 _ACCURACY = 10_000
 
 
@@ -41,13 +43,13 @@ class _Range:
 def exact_quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], direct_rows: int = DIRECT_ROWS
 ) -> dict[str, list[float | None]]:
-    """Quantiles of each column, NULLs ignored: {column: [value per probability]}."""
+    """Quantiles of each column, NULL and NaN ignored: {column: [value per probability]}.
+
+    A bracket of at most ``direct_rows`` values is ranked as it is.
+    """
     probs, cols = list(probs), list(cols)
+    df = nan_to_null(df.select(*dict.fromkeys(cols)), cols)
     counts = df.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
-    if max(counts.values()) <= direct_rows:
-        q = F.array(*[F.lit(p) for p in probs])
-        row = df.agg(*[F.percentile(c, q).alias(c) for c in cols]).first()
-        return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in cols}
 
     def ranks(c: str, p: float) -> tuple[int, int, float]:
         at = (counts[c] - 1) * p
@@ -69,8 +71,10 @@ def _order_statistics(
     df: DataFrame, wanted: list[tuple[str, int]], counts: dict[str, int], direct_rows: int
 ) -> dict[tuple[str, int], float]:
     """Value at each wanted (column, 0-based rank)."""
-    ranges = {(c, r): _Range(None, None, 0, counts[c]) for c, r in wanted}
-    ready: dict[tuple[str, int], _Range] = {}
+    whole = {(c, r): _Range(None, None, 0, counts[c]) for c, r in wanted}
+    ready = {k: g for k, g in whole.items() if g.inside <= direct_rows}
+    ranges = {k: g for k, g in whole.items() if k not in ready}
+    halved: set[tuple[str, int]] = set()  # the sketch no longer narrows these
     while ranges:
         asked = list(ranges)
         shared: dict[tuple[str, _Range], list[int]] = {}
@@ -87,6 +91,10 @@ def _order_statistics(
         cuts: dict[int, tuple[float, float]] = {}
         for members, got in zip(shared.values(), df.agg(*sketches).first()):
             cuts.update({i: (got[2 * j], got[2 * j + 1]) for j, i in enumerate(members)})
+        for i, k in enumerate(asked):
+            if k in halved and ranges[k].lo is not None and ranges[k].hi is not None:
+                middle = float(ranges[k].lo) / 2 + float(ranges[k].hi) / 2
+                cuts[i] = (middle, middle)
         # each distinct cut is counted once, however many ranks share it
         edges = sorted({(asked[i][0], v) for i, ab in cuts.items() for v in ab})
         counted = df.agg(
@@ -103,8 +111,11 @@ def _order_statistics(
                 new = _Range(a, b, lt_a, le_b - lt_a)
             else:
                 new = _Range(b, g.hi, lt_b, g.below + g.inside - lt_b)
-            # a range that stops shrinking is made of a few values with many copies each
-            settled = new.inside <= direct_rows or new.lo == new.hi or new.inside == g.inside
+            if new.inside == g.inside:
+                halved.add((c, r))
+            # between neighbouring numbers there is nothing left to halve
+            stuck = (c, r) in halved and (new.lo, new.hi) == (g.lo, g.hi)
+            settled = new.inside <= direct_rows or new.lo == new.hi or stuck
             (ready if settled else ranges)[c, r] = new
 
     spans = list(dict.fromkeys((c, g) for (c, _), g in ready.items()))
@@ -147,14 +158,19 @@ def quantile_bounds(
     """Lower and upper quantile per column; a pair of numbers each, whatever the table size."""
     if approx:
         q = F.array(F.lit(lo), F.lit(hi))
-        row = df.agg(*[F.percentile_approx(c, q, _ACCURACY).alias(c) for c in cols]).first()
-        return {c: tuple(row[c]) for c in cols}
+        known = nan_to_null(df, list(cols))
+        row = known.agg(*[F.percentile_approx(c, q, _ACCURACY).alias(c) for c in cols]).first()
+        return {c: (None, None) if row[c] is None else tuple(row[c]) for c in cols}
     return {c: tuple(v) for c, v in exact_quantiles(df, cols, [lo, hi], direct_rows).items()}
 
 
 def inside_bounds(bounds: Mapping[str, tuple[float, float]]) -> Column:
-    """True where every column lies within its bounds. The bounds are literals, so the scan can use them."""
-    return reduce(and_, [F.col(c).between(F.lit(a), F.lit(b)) for c, (a, b) in bounds.items()])
+    """True where every column lies within its bounds. The bounds are literals, so the scan can use them.
+
+    A column without values has no bounds and excludes nothing.
+    """
+    known = [F.col(c).between(F.lit(a), F.lit(b)) for c, (a, b) in bounds.items() if a is not None]
+    return reduce(and_, known, F.lit(True))
 
 
 def trim_quantiles(

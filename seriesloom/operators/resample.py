@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import trunc
+from ..functions import nan_to_null, trunc
 
 
 def resample(
@@ -18,8 +18,9 @@ def resample(
     keys: Sequence[str] = (),
     out: str | None = None,
 ) -> DataFrame:
-    """One row per series and grain; ``aggs`` maps a column to avg, max, min, sum, count or stddev."""
-    return df.groupBy(*keys, trunc(ts, grain).alias(out or ts)).agg(
+    """One row per series and grain; ``aggs`` maps a column to avg, max, min, sum, count or stddev. NaN counts as
+    missing."""
+    return nan_to_null(df, list(aggs)).groupBy(*keys, trunc(ts, grain).alias(out or ts)).agg(
         *[getattr(F, fn)(c).alias(c) for c, fn in aggs.items()]
     )
 

@@ -8,8 +8,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import nan_to_null
 from .blocks import DAY
-from .dedup import top_k
 from .quantiles import exact_quantiles
 from .windows import Roll, rolling
 
@@ -33,7 +33,8 @@ def describe(
     probs: Sequence[float] = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99),
     digits: int | None = None,
 ) -> DataFrame:
-    """Count, mean, sample deviation, min, max and quantiles: one row per column."""
+    """Count, mean, sample deviation, min, max and quantiles: one row per column, NULL and NaN left out."""
+    df = nan_to_null(df, list(cols))
 
     def shown(x: Column) -> Column:
         x = x.cast("double")
@@ -64,12 +65,13 @@ def describe(
 
 
 def corr(df: DataFrame, a: str, b: str, out: str = "corr") -> DataFrame:
-    """Pearson correlation of two columns, in one row."""
-    return df.agg(F.corr(a, b).alias(out))
+    """Pearson correlation of two columns, in one row; pairs with a NULL or NaN are left out."""
+    return nan_to_null(df, [a, b]).agg(F.corr(a, b).alias(out))
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """All pairs (a, b, corr), both directions and the diagonal; NULLs are left out pair by pair."""
+    """All pairs (a, b, corr), both directions and the diagonal; NULL and NaN are left out pair by pair."""
+    df = nan_to_null(df, list(cols))
     pairs = list(combinations(cols, 2))
     agg = df.agg(
         *[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
@@ -88,16 +90,12 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def rank_by_corr(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
     """Columns ordered by their correlation with the target, greatest first."""
     others = [c for c in cols if c != target]
+    df = nan_to_null(df, [*others, target])
     agg = df.agg(*[F.corr(c, target).alias(c) for c in others])
     cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("corr")) for c in others]
     return agg.select(F.inline(F.array(*cells))).orderBy(F.col("corr").desc_nulls_last(), "column")
 
 
-def rank_importance(df: DataFrame, by: str, k: int, tie: Sequence[str] = ()) -> DataFrame:
-    """The k most important rows of an importance table."""
-    return top_k(df, by, k, tie)
-
-
 def count_where(df: DataFrame, **conds: str) -> DataFrame:
     """Number of rows per named condition, in one row."""
     return df.agg(*[F.count_if(F.expr(c)).alias(name) for name, c in conds.items()])

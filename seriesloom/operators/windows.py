@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..functions import epoch_s, epoch_us, safe_ratio
+from ..functions import epoch_s, epoch_us, nan_to_null, safe_ratio
 from .blocks import HOUR, Frames, Stage, over_blocks
 
 
@@ -26,7 +26,7 @@ class Roll:
 _PLAIN = {
     "avg": F.avg,
     "stddev": F.stddev_samp,
-    "sum": F.sum,
+    "sum": lambda c: F.sum(F.col(c).cast("double")),
     "count": F.count,
     "min": F.min,
     "max": F.max,
@@ -267,6 +267,22 @@ def horizon_targets(
     )
 
 
+def _rolling_unique(
+    df: DataFrame, ts: str, rolls: Sequence[Roll], keys: Sequence[str], width_s: int | None
+) -> DataFrame:
+    return over_blocks(
+        df,
+        ts,
+        [roll_stage(rolls)],
+        keys,
+        back_s=max(r.back_s for r in rolls),
+        fwd_s=max(0, *[r.fwd_s for r in rolls]),
+        width_s=width_s,
+        unique=True,
+        uses=list(dict.fromkeys(r.col for r in rolls)),
+    )
+
+
 def rolling(
     df: DataFrame,
     ts: str,
@@ -286,22 +302,19 @@ def rolling(
     """
     cols = list(dict.fromkeys(r.col for r in rolls))
     if unique:
-        return over_blocks(
-            df,
-            ts,
-            [roll_stage(rolls)],
-            keys,
-            back_s=max(r.back_s for r in rolls),
-            fwd_s=max(0, *[r.fwd_s for r in rolls]),
-            width_s=width_s,
-            unique=True,
-            uses=cols,
-        )
+        # NaN counts as missing in the frames and stays in the columns
+        shown = {c: f"_rolled_{i}" for i, c in enumerate(cols) if dict(df.dtypes)[c] in ("double", "float")}
+        if shown:
+            numbers = nan_to_null(df.withColumns({s: F.col(c) for c, s in shown.items()}), list(shown.values()))
+            moved = [Roll(r.out, shown.get(r.col, r.col), r.fn, r.back_s, r.fwd_s) for r in rolls]
+            return _rolling_unique(numbers, ts, moved, keys, width_s).drop(*shown.values())
+        return _rolling_unique(df, ts, rolls, keys, width_s)
     if any(r.fwd_s for r in rolls):
         raise ValueError("frames that look ahead need one row per series and second")
 
     keys = list(keys)
     timed = df.withColumn(_AT, epoch_s(ts))
+    found = nan_to_null(timed, cols)
     parts = []
     for c, fns in _needs(rolls).items():
         x = F.col(c).cast("double")
@@ -316,7 +329,7 @@ def rolling(
         if "last" in fns:
             pos = F.struct(epoch_us(ts), *[F.col(t) for t in tie])
             parts.append(F.max_by(c, F.when(F.col(c).isNotNull(), pos)).alias(f"_last_{c}"))
-    slim = timed.where(F.col(ts).isNotNull()).groupBy(*keys, _AT).agg(*parts)
+    slim = found.where(F.col(ts).isNotNull()).groupBy(*keys, _AT).agg(*parts)
     for back in sorted({r.back_s for r in rolls}):
         slim = _two_chunks(slim, keys, back, [r for r in rolls if r.back_s == back])
 

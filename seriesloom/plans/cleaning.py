@@ -34,8 +34,7 @@ def cascade_conditions(
         if step.trim:
             base = df.where(rules) if step.bounds_after_rules else df
             bounds = quantile_bounds(base, step.trim, step.lo, step.hi, direct_rows=direct_rows)
-            known = {c: b for c, b in bounds.items() if None not in b}
-            condition = rules & inside_bounds(known) if known else rules
+            condition = rules & inside_bounds(bounds)
         conditions[step.name] = condition
         df = df.where(condition)
     return conditions

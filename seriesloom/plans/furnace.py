@@ -92,44 +92,35 @@ DEFAULTS = {
     **dict.fromkeys(TP, 450.0),
 }
 
-NOT_FEATURES = [
-    "si_dt",
-    "next_si_dt",
-    "hours_to_next_cast",
-    "is_quarantine",
-    "is_startup",
-    "delta_target",
-    "future_dt",
-    "future_Si",
-    "prediction_horizon_hours",
-    "is_anomalous",
-    *[f"target_Si_{h}h" for h in HORIZONS],
-]
-
 ANOMALY_INPUTS = ["Si", "Th", "Tc", "Fb", "CO2", "H2"]
 
-# five operating regimes to try a model on: name, expected silicon range, values of SCENARIO_SENSORS
+# five operating regimes to try a model on: name, description, expected silicon range, values of SCENARIO_SENSORS
 SCENARIO_SENSORS = [
     "Fb", "Th", "R", "dP", "CO2", "H2", "Si", "Tc", "Ph", "Pc", "Pt", *TT, *TP,
 ]
 SCENARIOS = [
-    ("normal_operation", 0.40, 0.50, [
+    ("normal_operation", "steady regime: middle silicon, balanced burden, blast and temperature, usual gas and heat profile",
+     0.40, 0.50, [
         4100.0, 1120.0, 4.50, 1.20, 22.5, 5.0, 0.45, 95.0, 2.50, 2.20, 1.50,
         145.0, 152.0, 148.0, 150.0,
         280.0, 310.0, 340.0, 365.0, 380.0, 390.0, 385.0, 370.0, 350.0, 320.0]),
-    ("high_silicon_risk", 0.65, 0.80, [
+    ("high_silicon_risk", "hot regime with rising silicon: less blast, hotter air, more coke and hydrogen, high top temperatures",
+     0.65, 0.80, [
         3650.0, 1185.0, 3.75, 1.05, 20.8, 7.2, 0.72, 125.0, 2.85, 2.60, 1.75,
         195.0, 205.0, 198.0, 202.0,
         320.0, 360.0, 410.0, 445.0, 465.0, 470.0, 460.0, 440.0, 415.0, 375.0]),
-    ("low_silicon_risk", 0.22, 0.35, [
+    ("low_silicon_risk", "cooling regime with falling silicon: much blast, cooler air, more ore for the coke, low top temperatures",
+     0.22, 0.35, [
         4450.0, 1070.0, 5.20, 1.42, 24.2, 3.4, 0.28, 72.0, 2.15, 1.90, 1.25,
         115.0, 122.0, 118.0, 120.0,
         220.0, 245.0, 270.0, 290.0, 305.0, 310.0, 300.0, 285.0, 265.0, 240.0]),
-    ("thermal_imbalance", 0.50, 0.62, [
+    ("thermal_imbalance", "uneven heat around the furnace: temperatures differ strongly between sides, pressures out of line",
+     0.50, 0.62, [
         3900.0, 1140.0, 4.20, 0.92, 21.5, 6.1, 0.55, 110.0, 2.30, 2.80, 1.10,
         135.0, 175.0, 128.0, 168.0,
         260.0, 290.0, 380.0, 295.0, 420.0, 310.0, 400.0, 275.0, 360.0, 300.0]),
-    ("extreme_high_si", 0.75, 0.85, [
+    ("extreme_high_si", "silicon at the upper end: least blast, hottest air, highest hydrogen and temperatures",
+     0.75, 0.85, [
         3550.0, 1195.0, 3.60, 0.98, 20.2, 7.8, 0.78, 128.0, 2.95, 2.75, 1.80,
         210.0, 225.0, 215.0, 220.0,
         340.0, 390.0, 450.0, 485.0, 495.0, 490.0, 475.0, 455.0, 430.0, 395.0]),
@@ -225,3 +216,12 @@ FEATURES = FeatureSpec(
 FURNACE = PlantSpec(
     contract=CONTRACT, validity=[*VALIDITY, *NOT_NAN], trusted=TRUSTED, features=FEATURES, cleaning=CLEANING
 )
+
+# what the feature plan adds to tell time and future apart from inputs
+NOT_FEATURES = [
+    "si_dt",
+    FEATURES.next_time,
+    FEATURES.next_hours,
+    "is_anomalous",
+    *[f"target_{FEATURES.target}_{h}h" for h in FEATURES.horizons],
+]

@@ -46,7 +46,7 @@ def test_unflagged_values_stay(spark):
 
 
 def test_nan_in_an_open_rule_is_invalid(spark):
-    good = dict(zip(SCENARIO_SENSORS, SCENARIOS[0][3])) | {"Fo": 21.0, "dPu": 0.5, "dPl": 0.7}
+    good = dict(zip(SCENARIO_SENSORS, SCENARIOS[0][4])) | {"Fo": 21.0, "dPu": 0.5, "dPl": 0.7}
     rows = [good, good | {"Pc": NAN}, good | {"Tp3": NAN}, good | {"Fo": None}, good | {"Ph": NAN}]
     schema = ", ".join(f"{c} double" for c in CONTRACT.sensors)
     df = spark.createDataFrame([tuple(r[c] for c in CONTRACT.sensors) for r in rows], schema)
@@ -55,7 +55,7 @@ def test_nan_in_an_open_rule_is_invalid(spark):
 
 
 def test_every_scenario_is_valid_with_defaults(spark):
-    rows = [tuple(values) for _, _, _, values in SCENARIOS]
+    rows = [tuple(values) for *_, values in SCENARIOS]
     df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in SCENARIO_SENSORS))
     flagged = flag_invalid(with_defaults(df, DEFAULTS), VALIDITY)
     assert {r["is_outlier"] for r in flagged.collect()} == {0}
