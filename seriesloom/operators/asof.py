@@ -11,7 +11,6 @@ from ..functions import epoch_us, minutes_between
 from .blocks import MICROS, WIDE, assign_blocks, left_lookup
 
 _SIDE, _R, _L, _T, _BLK, _US, _COPIES = "_side", "_right", "_left", "_tie", "_block", "_micros", "_copies"
-_SALTS = 64
 
 
 def asof_join(
@@ -91,15 +90,19 @@ def _match(
         return rows.unionByName(facts.select(*keys, "_t", F.lit(0).alias(_SIDE), _R, _T), allowMissingColumns=True)
 
     both, hot = assign_blocks(stacked(base), F.lit(sign) * epoch_us("_t"), keys, width_s, max_rows)
-    tied = None if hot is None else hot.tied
-    if tied is not None:
+    tied, copied = None, hot is not None and hot.tied is not None
+    if copied:
         # Copies of a row have the same match: they are counted before the shuffle and repeated after it.
         counted = base.groupBy(*keys, "_t", _L, *extra).agg(F.count(F.lit(1)).alias(_COPIES))
-        both, _ = assign_blocks(stacked(counted), F.lit(sign) * epoch_us("_t"), keys, width_s, max_rows)
-        both = left_lookup(both, tied.withColumn("_is_tied", F.lit(True)), keys, _BLK, "_b").drop("_b")
+        both, hot = assign_blocks(stacked(counted), F.lit(sign) * epoch_us("_t"), keys, width_s, max_rows)
+        tied = None if hot is None else hot.tied
+    if tied is not None:
+        salts = F.ceil(F.col("_rows") / max_rows).cast("int")
+        marks = tied.select(*keys, "_b", F.lit(True).alias("_is_tied"), salts.alias("_salts"))
+        both = left_lookup(both, marks, keys, _BLK, "_b", "_b")
         # All rows of such a block share one time, so its left rows need no order and may be spread.
         spread = F.col("_is_tied") & (F.col(_SIDE) == 1)
-        salt = F.when(spread, F.pmod(F.xxhash64(_L), F.lit(_SALTS))).otherwise(0)
+        salt = F.when(spread, F.pmod(F.xxhash64(_L), F.col("_salts"))).otherwise(0)
         both = both.withColumn("_salt", salt.cast("int"))
         part = [*keys, _BLK, "_salt"]
     else:
@@ -110,14 +113,16 @@ def _match(
     per_block = both.groupBy(*keys, _BLK).agg(
         newest(_R, F.when(F.col(_SIDE) == 0, F.col(_T))).alias("_here"),
         F.max(_SIDE).alias("_any_left"),
-        *([F.max("_is_tied").alias("_is_tied")] if tied is not None else []),
+        *([F.max("_is_tied").alias("_is_tied"), F.max("_salts").alias("_salts")] if tied is not None else []),
     )
+    if tied is not None:  # the row in effect at such a time is known already
+        both = both.where(F.col("_is_tied").isNull() | (F.col(_SIDE) == 1))
     opening = Window.partitionBy(*keys).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
     carried = per_block.withColumn(_R, F.last("_here", ignorenulls=True).over(opening))
     if tied is not None:
         carried = carried.withColumn(
             _R, F.when(F.col("_is_tied"), F.coalesce("_here", _R)).otherwise(F.col(_R))
-        ).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(F.col("_is_tied"), _SALTS - 1).otherwise(0))))
+        ).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0)))))
     carried = carried.where((F.col("_any_left") == 1) & F.col(_R).isNotNull()).select(
         *part, F.lit(-1).alias(_SIDE), _R
     )
@@ -136,7 +141,7 @@ def _match(
         .withColumn(out, F.last(_R, ignorenulls=True).over(w))
         .where(F.col(_SIDE) == 1)
     )
-    if tied is not None:
+    if copied:
         found = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(_COPIES))))
     return found.select(*keys, "_t", _L, *extra, out)
 

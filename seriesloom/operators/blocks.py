@@ -10,8 +10,9 @@ before the shuffle and filtered out afterwards:
   rows behind it, however far away they lie in time.
 
 Rows stay in their blocks otherwise, so the table is shuffled once. The carried rows come from at
-most ``before + after`` rows per block, so the only per-series step works on a table whose size is
-set by the calendar (blocks in the covered time), not by the number of rows.
+most ``before + after`` rows per block. Blocks with too many rows are cut into parts, and parts into parts; rows
+are carried between the parts of one block at a time, so the only per-series step works on the widest blocks,
+whose number is set by the calendar.
 """
 
 from __future__ import annotations
@@ -24,14 +25,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import epoch_s, epoch_us
+from ..sources.staging import staged
 
 HOUR = 3600
 DAY = 24 * HOUR
 MICROS = 1_000_000
 WIDE = 365 * DAY  # block width where hot blocks are cut anyway: short series then need no extra rows
 
-_BLK, _CORE, _S, _US = "_block", "_core", "_sec", "_micros"
-_FAN = 1024
+_BLK, _CORE, _S, _US, _LEVELS = "_block", "_core", "_sec", "_micros", "_levels"
+_FAN = 64
+_SENT_WHOLE = 100_000
+_UNTIMED = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -66,56 +70,42 @@ def block_start(us: Column, width_us: Column | int) -> Column:
 
 @dataclass(frozen=True)
 class HotBlocks:
-    """Blocks above the row limit: the narrower width for each, and the single microseconds that are
-    above it on their own. Both have at most rows / max_rows entries, which bounds what the driver
-    holds and what is broadcast."""
+    """Blocks above the row limit, level by level: those of the widest blocks, then of their parts, and so on,
+    with the width of the parts in microseconds, and the single microseconds that are above it on their own,
+    with their row counts. All of them are stored tables with at most rows / max_rows rows a level."""
 
-    widths: DataFrame
+    levels: tuple[tuple[DataFrame, int], ...]
     tied: DataFrame | None
 
 
 def hot_blocks(
     df: DataFrame, us: Column, keys: Sequence[str], width_us: int, max_rows: int
 ) -> HotBlocks | None:
-    """Find the blocks that hold more than ``max_rows`` rows and how far they must be cut.
+    """Find the blocks that hold more than ``max_rows`` rows and cut them into ``_FAN`` parts, again and again,
+    until each part fits or is one microsecond wide.
 
-    Rows are only counted, and counts are combined map-side, so a hot block costs nothing extra here.
-    A block is cut until its parts fit or are one microsecond wide.
+    Rows are only counted, and counts are combined map-side, so a hot block costs nothing extra here. A part is
+    cut no further than it must be, so evenly filled parts keep at least max_rows / _FAN rows.
     """
-    spark = df.sparkSession
-    base = df.select(*keys, us.alias(_US)).withColumn("_b0", block_start(F.col(_US), width_us))
-
-    def sizes(frame: DataFrame, width: int) -> DataFrame:
-        return frame.groupBy(*keys, "_b0", block_start(F.col(_US), width).alias("_b")).count()
-
-    def largest(frame: DataFrame, width: int) -> DataFrame:
-        return sizes(frame, width).groupBy(*keys, "_b0").agg(F.max("count").alias("_n"))
-
-    hot = [tuple(r[:-1]) for r in largest(base, width_us).where(F.col("_n") > max_rows).collect()]
-    if not hot:
-        return None
-    schema = base.drop(_US).schema
-    done, tied, width = [], None, width_us
-    while hot:
-        width = max(1, width // _FAN)
-        wanted = F.broadcast(spark.createDataFrame(hot, schema))
-        inside = base.join(wanted, _same(base, wanted, [*keys, "_b0"]), "left_semi")
-        found = largest(inside, width).collect()
-        done += [(*r[:-1], width) for r in found if r["_n"] <= max_rows or width == 1]
-        hot = [tuple(r[:-1]) for r in found if r["_n"] > max_rows and width > 1]
+    frame = df.select(*keys, us.alias(_US)).withColumn("_b", block_start(F.col(_US), width_us))
+    levels: list[tuple[DataFrame, int]] = []
+    width = width_us
+    while True:
+        counts = frame.groupBy(*keys, "_b").count().where(F.col("count") > max_rows)
+        if counts.isEmpty():
+            return HotBlocks(tuple(levels), None) if levels else None
+        hot = staged(counts.select(*keys, "_b", F.col("count").alias("_rows")))
         if width == 1:
-            rows = sizes(inside, 1).where(F.col("count") > max_rows).select(*keys, "_b").collect()
-            names = T.StructType([*[schema[k] for k in keys], T.StructField("_b", T.LongType())])
-            tied = spark.createDataFrame([tuple(r) for r in rows], names) if rows else None
-    return HotBlocks(spark.createDataFrame(done, T.StructType([*schema.fields, T.StructField("_w", T.LongType())])), tied)
+            return HotBlocks(tuple(levels), hot)
+        width = -(-width // _FAN)
+        levels.append((hot.drop("_rows"), width))
+        inside = left_lookup(frame, levels[-1][0].withColumn("_hot", F.lit(True)), keys, "_b", "_b0", "_b").where("_hot")
+        frame = inside.select(*keys, _US, _part(F.col(_US), F.col("_b"), width).alias("_b"))
 
 
-def _same(left: DataFrame, right: DataFrame, cols: Iterable[str]) -> Column:
-    """Null-safe equality on ``cols`` of two frames."""
-    on = F.lit(True)
-    for c in cols:
-        on = on & left[c].eqNullSafe(right[c])
-    return on
+def _part(us: Column, start: Column, width: int) -> Column:
+    """Start of the part that holds ``us``; parts begin at the start of their block."""
+    return us - F.pmod(us - start, F.lit(width))
 
 
 def assign_blocks(
@@ -125,26 +115,38 @@ def assign_blocks(
     width_s: int,
     max_rows: int | None,
 ) -> tuple[DataFrame, HotBlocks | None]:
-    """Add the block column; blocks above ``max_rows`` are cut into narrower ones."""
+    """Add the block column; blocks above ``max_rows`` are cut into narrower ones.
+
+    A row of a cut block also has the starts of the blocks around its own, widest first, in ``_levels``; where
+    a block is not cut as far as others its own start is repeated.
+    """
     width_us = width_s * MICROS
     plain = df.withColumn(_US, us).withColumn(_BLK, block_start(F.col(_US), width_us))
     hot = None if max_rows is None else hot_blocks(df, us, keys, width_us, max_rows)
     if hot is None:
         return plain, None
-    marked = left_lookup(plain, hot.widths, keys, _BLK, "_b0")
-    finer = F.when(F.col("_w").isNull(), F.col(_BLK)).otherwise(
-        block_start(F.col(_US), F.coalesce("_w", F.lit(1)))
-    )
-    return marked.select(*df.columns, _US, finer.alias(_BLK)), hot
+    out = plain.withColumn(_LEVELS, F.array(_BLK)).withColumn("_cut", F.lit(True))
+    for nodes, width in hot.levels:
+        out = left_lookup(out, nodes.withColumn("_hot", F.lit(True)), keys, _BLK, "_b0", "_b")
+        cut = F.col("_cut") & F.coalesce("_hot", F.lit(False))
+        block = F.when(cut, _part(F.col(_US), F.col(_BLK), width)).otherwise(F.col(_BLK))
+        out = out.select(
+            *df.columns, _US, block.alias(_BLK), F.concat(_LEVELS, F.array(block)).alias(_LEVELS), cut.alias("_cut")
+        )
+    return out.drop("_cut"), hot
 
 
-def left_lookup(df: DataFrame, small: DataFrame, keys: Sequence[str], col: str, small_col: str) -> DataFrame:
-    """Left join with a table of hot blocks, whose size is bounded, null-safe on the keys."""
-    right = small.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+def left_lookup(
+    df: DataFrame, small: DataFrame, keys: Sequence[str], col: str, small_col: str, named: str | None = None
+) -> DataFrame:
+    """Left join with a stored table of hot blocks, null-safe on the keys. It is sent whole while it is small;
+    Spark shuffles both sides beyond that. ``named`` is the column's name in ``small``."""
+    right = small.withColumnsRenamed({k: f"_k_{k}" for k in keys} | ({named: small_col} if named else {}))
     on = df[col].eqNullSafe(right[small_col])
     for k in keys:
         on = on & df[k].eqNullSafe(right[f"_k_{k}"])
-    return df.join(F.broadcast(right), on, "left").drop(*[f"_k_{k}" for k in keys])
+    right = F.broadcast(right) if small.count() <= _SENT_WHOLE else right
+    return df.join(right, on, "left").drop(*[f"_k_{k}" for k in keys], *([small_col] if named else []))
 
 
 def _carried(
@@ -153,29 +155,49 @@ def _carried(
     order: Sequence[Column],
     n: int,
     forward: bool,
+    levels: int,
 ) -> DataFrame:
     """Up to ``n`` rows nearest to each block from outside it, tagged with the block that needs them.
 
     ``forward`` sends rows to later blocks (for look-back frames), otherwise to earlier ones. The row
     limit per block is applied before the shuffle as well as after it.
+
+    Where blocks are cut, rows go up and down the levels of the cut: the last ``n`` rows of the parts of a block
+    give those of the block; a block passes what it was sent on to its first parts, and each part sends its rows
+    to the parts behind it. No window holds more than the rows of ``_FAN`` parts, except over the widest blocks
+    of a series, whose number is set by the calendar.
     """
-    toward = [c.desc() for c in order] if forward else [c.asc() for c in order]
-    edge = (
-        blocked.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, _BLK).orderBy(*toward)))
-        .where(F.col("_rn") <= n)
-        .drop("_rn")
-    )
-    beyond = (
-        Window.partitionBy(*keys)
-        .orderBy(*([c.asc() for c in order] if forward else [c.desc() for c in order]))
-        .rowsBetween(1, n)
-    )
-    return (
-        edge.withColumn("_next", F.collect_list(_BLK).over(beyond))
-        .withColumn("_to", F.explode(F.array_distinct("_next")))
-        .where(F.col("_to") != F.col(_BLK))
-        .drop("_next")
-    )
+    ahead = [c.asc() for c in order] if forward else [c.desc() for c in order]
+    behind = [c.desc() for c in order] if forward else [c.asc() for c in order]
+
+    def last(frame: DataFrame, part: Column | str) -> DataFrame:
+        nearest = Window.partitionBy(*keys, part).orderBy(*behind)
+        return frame.withColumn("_rn", F.row_number().over(nearest)).where(F.col("_rn") <= n).drop("_rn")
+
+    def sent(frame: DataFrame, around: list[Column | str]) -> DataFrame:
+        """Rows of ``frame``, once for each ``_node`` among the next n rows that is not their own."""
+        beyond = Window.partitionBy(*keys, *around).orderBy(*ahead).rowsBetween(1, n)
+        return (
+            frame.withColumn("_next", F.collect_list("_node").over(beyond))
+            .withColumn("_to", F.explode(F.array_distinct("_next")))
+            .where(~F.col("_to").eqNullSafe(F.col("_node")))
+            .drop("_next", "_node")
+        )
+
+    edge = last(blocked, _BLK)
+    if not levels:
+        return sent(edge.withColumn("_node", F.col(_BLK)), [])
+    edges = [staged(edge)]
+    for level in reversed(range(levels)):
+        edges.insert(0, last(edges[0].withColumn("_at", F.get(_LEVELS, F.lit(level))), "_at").drop("_at"))
+    down = sent(edges[0].withColumn("_node", F.get(_LEVELS, F.lit(0))), [])
+    for level in range(1, levels + 1):
+        own = edges[level].select(
+            "*", F.get(_LEVELS, F.lit(level - 1)).alias("_around"), F.get(_LEVELS, F.lit(level)).alias("_node")
+        )
+        above = down.withColumnRenamed("_to", "_around").withColumn("_node", F.lit(None).cast("long"))
+        down = sent(own.unionByName(above), ["_around"]).drop("_around")
+    return down
 
 
 def over_blocks(
@@ -200,19 +222,22 @@ def over_blocks(
     beyond a row. ``unique`` promises one row per series and second: it bounds a block by its width
     and is required for time frames (``rolling`` reduces other input to that form). Without it, blocks
     above ``max_rows`` rows are cut; rows of one series and microsecond stay together. ``uses`` names
-    the columns the stages read, so that extra rows carry no others. Rows without a time are left out.
+    the columns the stages read, so that extra rows carry no others. Rows without a time stay, and all new
+    columns are NULL there; they are spread by hash.
     """
     if (back_s or fwd_s) and not unique:
         raise ValueError("time frames need one row per series and second")
     keys = list(keys)
     ranged = bool(back_s or fwd_s)
     width = width_s or (max(4 * (back_s + fwd_s), 30 * DAY) if unique else WIDE)
-    src = df.where(F.col(ts).isNotNull())
-    blocked, _ = assign_blocks(src, epoch_us(ts), keys, width, None if unique else max_rows)
-    blocked = blocked.withColumn(_S, epoch_s(ts))
+    blocked, hot = assign_blocks(df, epoch_us(ts), keys, width, None if unique else max_rows)
+    levels = len(hot.levels) if hot else 0
+    hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    untimed = F.pmod(F.xxhash64(*hashable), F.lit(_UNTIMED)) - _UNTIMED - (1 << 62)  # before all times
+    blocked = blocked.withColumn(_S, epoch_s(ts)).withColumn(_BLK, F.coalesce(_BLK, untimed))
     order = [F.col(_S)] if unique else [F.col(_US), *[F.col(t) for t in tie]]
 
-    keep = None if uses is None else {*uses, *keys, *tie, ts, _S, _US, _BLK}
+    keep = None if uses is None else {*uses, *keys, *tie, ts, _S, _US, _BLK, _LEVELS}
 
     def thin(frame: DataFrame) -> DataFrame:
         if keep is None:
@@ -230,7 +255,8 @@ def over_blocks(
         w_us = width * MICROS
         first = block_start(F.col(_US) - F.lit(fwd_s * MICROS), w_us)
         last = block_start(F.col(_US) + F.lit(back_s * MICROS), w_us)
-        halo = blocked.withColumn("_to", F.explode(F.sequence(first, last, F.lit(w_us))))
+        reached = F.when(F.col(_US).isNull(), F.array(_BLK)).otherwise(F.sequence(first, last, F.lit(w_us)))
+        halo = blocked.withColumn("_to", F.explode(reached))
         parts.append(
             halo.withColumn(_CORE, F.col("_to") == F.col(_BLK)).drop(_BLK).withColumnRenamed("_to", _BLK)
         )
@@ -239,7 +265,7 @@ def over_blocks(
     for n, forward in ((before, True), (after, False)):
         if not n:
             continue
-        extra = _carried(thin(blocked), keys, order, n, forward)
+        extra = _carried(thin(blocked).where(F.col(_US).isNotNull()), keys, order, n, forward, levels)
         if ranged:
             lo = F.col("_to") - F.lit(back_s * MICROS)
             hi = F.col("_to") + F.lit((width + fwd_s) * MICROS)
@@ -253,8 +279,8 @@ def over_blocks(
 
     frames = Frames(part=(*keys, _BLK), order=tuple(order))
     for stage in stages:
-        new = stage(frames)
+        new = {name: F.when(F.col(_US).isNotNull(), e) for name, e in stage(frames).items()}
         frame = frame.select(
             *[c for c in frame.columns if c not in new], *[e.alias(n) for n, e in new.items()]
         )
-    return frame.where(_CORE).drop(_BLK, _CORE, _S, _US)
+    return frame.where(_CORE).drop(_BLK, _CORE, _S, _US, _LEVELS)

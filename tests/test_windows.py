@@ -144,3 +144,36 @@ def test_hot_series_is_split(spark):
     got = lag_features(df, "ts", {"v": [1, 2]}, ["k"], ["id"], max_rows=200)
     want = df.select("id", F.lag("v", 1).over(w), F.lag("v", 2).over(w)).orderBy("id").collect()
     assert by_id(got, "v_lag_1h", "v_lag_2h") == [tuple(r)[1:] for r in want]
+
+
+@pytest.mark.parametrize("max_rows", [3, 40])
+def test_deep_cuts_and_rows_without_a_time(spark, max_rows):
+    """Bursts a microsecond apart beside long pauses; lags over many parts; rows without a time stay."""
+    at = [timedelta(days=40 * d, microseconds=us) for d in (0, 1, 30) for us in range(60)]
+    data = [(i % 2, i, T0 + t, float(i)) for i, t in enumerate(at)] + [(0, 900 + i, None, 1.0) for i in range(5)]
+    df = spark.createDataFrame(data, SCHEMA)
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    got = lag_features(df, "ts", {"v": [1, 12]}, ["k"], ["id"], max_rows=max_rows)
+    timed = df.where("ts is not null")
+    want = timed.select("id", F.lag("v", 1).over(w).alias("a"), F.lag("v", 12).over(w).alias("b")).orderBy("id")
+    assert by_id(got.where("ts is not null"), "v_lag_1h", "v_lag_12h") == [(r["a"], r["b"]) for r in want.collect()]
+    assert by_id(got.where("ts is null"), "v_lag_1h", "v_lag_12h") == [(None, None)] * 5
+    ahead = lead_gap(df, "ts", ["k"], ["id"], max_rows=max_rows)
+    later = timed.select("id", F.lead("ts").over(w).alias("n")).orderBy("id").select("n").collect()
+    assert by_id(ahead.where("ts is not null"), "next_ts") == [tuple(r) for r in later]
+
+
+def test_no_window_over_a_cut_series(spark):
+    """What a task of the carry step holds is set by the fan of a cut, not by the number of blocks."""
+    from seriesloom.operators import blocks
+
+    data = [(0, i, T0 + timedelta(milliseconds=10 * i), float(i)) for i in range(6000)]
+    df = spark.createDataFrame(data, SCHEMA)
+    us = blocks.epoch_us("ts")
+    cut, hot = blocks.assign_blocks(df, us, ["k"], blocks.WIDE, 100)
+    sizes = [r["count"] for r in cut.groupBy("_block").count().collect()]
+    assert max(sizes) <= 100 and len(sizes) <= 6000 / (100 / blocks._FAN)
+    for level in range(len(hot.levels)):
+        parts = cut.select(F.get("_levels", F.lit(level)).alias("a"), F.get("_levels", F.lit(level + 1)).alias("b"))
+        most = parts.distinct().groupBy("a").count().agg(F.max("count")).first()[0]
+        assert most <= blocks._FAN
