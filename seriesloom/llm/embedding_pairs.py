@@ -77,7 +77,7 @@ def embedding_links(
     threshold: float = 0.9,
     most_pivots: int = 256,
     sample: int = 4096,
-    tile: int = 2048,
+    tile: int = 8192,
 ) -> DataFrame:
     """``key``, ``n_links``, ``component_id`` and ``kept`` for every row.
 
@@ -89,8 +89,9 @@ def embedding_links(
     decide only where work is done. A vector x with pivot p visits the cell of pivot c unless
     x.(p - c) > |p - c| sqrt(2 - 2 threshold), which proves that nothing in c's cell links with x. Each cell is
     cut into tiles of about ``tile`` vectors, visitors too; each pair of a visitor tile and a home tile is one
-    group, and sends a count a vector and one link a linked vector, not its pairs. Where the vectors have no
-    clusters every vector visits every cell, and the work is that of all pairs of tiles.
+    group, and sends a count a vector and one link a linked vector, not its pairs. There are two pivots a tile,
+    ``most_pivots`` at most. Where the vectors have no clusters every vector visits every cell, and the work is
+    that of all pairs of tiles.
 
     Null keys take part; ``component_id`` is the smallest key reachable, itself included (null if none), and
     ``kept`` tells whether the row carries it. Repeated rows stay. No rows give no rows; further columns are
@@ -147,7 +148,7 @@ def _links_of_size(own: DataFrame, size: int, threshold: float, most: int, sampl
     if n > sample:  # every so many-th vector by hash
         chosen = F.pmod(F.xxhash64("vector"), F.lit(-(-n // sample))) == 0
         drawn = drawn.where(chosen).limit(2 * sample).unionByName(drawn.limit(1))
-    pivots = choose_pivots(_unit(drawn.toArrow().column("vector").combine_chunks()), threshold, most)
+    pivots = choose_pivots(_unit(drawn.toArrow().column("vector").combine_chunks()), threshold, min(most, 2 * -(-n // tile)))
     shared = spark.sparkContext.broadcast(pivots)  # at most ``most`` vectors
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-9
 
@@ -190,8 +191,8 @@ def _links_of_size(own: DataFrame, size: int, threshold: float, most: int, sampl
         h, g = np.flatnonzero(home), np.flatnonzero(~home)
         labels = np.arange(len(node))
         counts = np.zeros(len(node), np.int64)
-        for s in range(0, len(g), 1024):
-            block = g[s : s + 1024]
+        for s in range(0, len(g), 256):
+            block = g[s : s + 256]
             if not len(h):
                 break
             i, j = tile_links(x[block], x[h], threshold)
