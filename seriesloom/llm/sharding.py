@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storing import stored
+from .storing import sent_whole, stored
 
 
 def shuffled_shards(
@@ -57,7 +57,7 @@ def shuffled_shards(
     )
     # a row for each bucket, which are bytes / bucket_bytes
     first = F.sum("n").over(Window.orderBy("bucket")) - F.col("n")
-    places = held.select("bucket", first.alias("first"))
+    places = sent_whole(held.select("bucket", first.alias("first")))
     place = F.col("first") + F.col("i")
     shard = F.pmod(place, F.lit(n_shards))
     return (
