@@ -32,6 +32,16 @@ class Contract:
     tag: str = "source_type"
     keys: Mapping[str, str] = field(default_factory=dict)
 
+    @classmethod
+    def from_mapping(cls, spec: Mapping[str, Mapping], target: Mapping[str, str], **names) -> Contract:
+        """A contract from groups as configuration files give them: name to ``type`` and ``columns``. A group
+        without a type is double; a column in two groups is an error."""
+        groups = {g: dict.fromkeys(s["columns"], s.get("type", "double")) for g, s in spec.items()}
+        columns = [c for cols in groups.values() for c in cols]
+        if repeated := sorted({c for c in columns if columns.count(c) > 1}):
+            raise ValueError(f"in more than one group: {repeated}")
+        return cls(groups=groups, target=dict(target), **names)
+
     @property
     def sensors(self) -> list[str]:
         return [c for cols in self.groups.values() for c in cols]

@@ -39,18 +39,32 @@ def read_contract(
 
 
 def read_table(
-    spark: SparkSession, path: str, ts: str | None = None, time_range: tuple[str, str] | None = None
+    spark: SparkSession,
+    path: str,
+    ts: str | None = None,
+    time_range: tuple[str, str] | None = None,
+    dated: bool = False,
 ) -> DataFrame:
-    """Parquet with the schema of the files; ``time_range`` [from, to) reaches the scan."""
-    return _in_range(spark.read.parquet(path), ts, time_range)
+    """Parquet with the schema of the files; ``time_range`` [from, to) reaches the scan.
+
+    ``dated`` tells that the table is partitioned by the year, month and day of ``ts`` (``with_date_parts``);
+    partitions outside the range are then not read.
+    """
+    return _in_range(spark.read.parquet(path), ts, time_range, dated)
 
 
-def _in_range(df: DataFrame, ts: str | None, time_range: tuple[str, str] | None) -> DataFrame:
+def _in_range(
+    df: DataFrame, ts: str | None, time_range: tuple[str, str] | None, dated: bool = False
+) -> DataFrame:
     if ts is None or time_range is None:
         return df
     kind = df.schema[ts].dataType
     lo, hi = (F.lit(t).cast(kind) for t in time_range)
-    return df.where((F.col(ts) >= lo) & (F.col(ts) < hi))
+    df = df.where((F.col(ts) >= lo) & (F.col(ts) < hi))
+    if dated:
+        day = F.make_date("year", "month", "day")
+        df = df.where(day.between(*[F.lit(t).cast("timestamp").cast("date") for t in time_range]))
+    return df
 
 
 def write_table(

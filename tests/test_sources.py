@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from seriesloom.functions import parse_ts
 from seriesloom.operators.windows import acceleration
 from seriesloom.plans.furnace import CONTRACT
-from seriesloom.sources.contract import check_contract, conform, spark_type
+from seriesloom.sources.contract import Contract, check_contract, conform, spark_type
 from seriesloom.sources.files import export_results, read_csv, read_table, with_date_parts, write_table
 from seriesloom.sources.messages import decode_json, encode_json, read_stream
 from seriesloom.streaming.ingest import Topic, ingest_available, progress, write_stream
@@ -134,3 +134,25 @@ def test_streamed_refresh_equals_batch(spark, tmp_path):
     for a, b in zip(got, want):
         assert tuple(a)[:3] == tuple(b)[:3]
         assert tuple(a)[3:] == pytest.approx(tuple(b)[3:])
+
+
+def test_contract_from_a_mapping():
+    spec = {"feed": {"type": "double", "columns": ["a", "b"]}, "notes": {"type": "string", "columns": ["c"]}, "gas": {"columns": ["d"]}}
+    contract = Contract.from_mapping(spec, {"y": "double"}, time="t")
+    assert contract.sensors == ["a", "b", "c", "d"]
+    kinds = [f.dataType.simpleString() for f in contract.schema("sensors").fields]
+    assert contract.schema("sensors").fieldNames()[0] == "t" and kinds == ["string", "double", "double", "string", "double"]
+    with pytest.raises(ValueError):
+        Contract.from_mapping({"a": {"columns": ["x"]}, "b": {"columns": ["x"]}}, {})
+
+
+def test_time_range_skips_partitions(spark, tmp_path):
+    path = str(tmp_path / "dated")
+    rows = [(i, str(T0 + timedelta(hours=7 * i))) for i in range(60)]
+    write_table(with_date_parts(spark.createDataFrame(rows, "i int, dt string"), "dt"), path, partition_by=["year", "month", "day"])
+    span = ("2024-01-03 05:00:00", "2024-01-05 00:00:00")
+    df = read_table(spark, path, "dt", span, dated=True)
+    assert [r["i"] for r in df.orderBy("i").collect()] == [i for i, t in rows if span[0] <= t < span[1]]
+    assert len(df.select("_metadata.file_path").distinct().collect()) == 2
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "make_date(year" in plan[plan.index("PartitionFilters") :]
