@@ -14,9 +14,6 @@ from ..streaming.ingest import Topic, ingest_available, write_stream
 from ..streaming.live import stream_dedup, stream_join_on_grain, stream_refresh, stream_resample, window_start
 from .base import query, round_all, rounded_sql, table
 
-WINDOWS_CLOSED = "hour + interval 1 hour <= (select max(ts) from events) - interval 1 hour"
-
-
 def _base(spark, name: str) -> str:
     return f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -30,6 +27,17 @@ def _stream(spark, sf):
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def _closed(spark, sdf):
+    """The stream with one row more, whose time lies beyond all others. It moves the watermark past every window
+    of a bounded replay, so that the last ones come out as well; its own window stays open."""
+    path = f"{_base(spark, 'end')}/row"
+    schema = sdf.schema
+    values = {"ts": "timestamp '2200-01-01 00:00:00'", "user_id": "-1"}
+    row = [F.expr(values.get(f.name, "null")).cast(f.dataType).alias(f.name) for f in schema.fields]
+    spark.range(1).select(*row).write.parquet(path)
+    return sdf.unionByName(read_stream(spark, "parquet", path, schema))
+
+
 def _drained(spark, sdf, name: str):
     base = _base(spark, name)
     write_stream(sdf, f"{base}/out", f"{base}/checkpoint", "available").awaitTermination()
@@ -86,10 +94,10 @@ def stream_ingest_topics(spark, sf):
     "stream_resample",
     f"""with h as (select date_trunc('hour', ts) as hour, user_id % 5 as line, avg(value) as value, max(event_id) as event_id
   from events group by 1, 2)
-select cast(hour as timestamp) as hour, line, {rounded_sql('value')} as value, event_id from h where {WINDOWS_CLOSED}""",
+select cast(hour as timestamp) as hour, line, {rounded_sql('value')} as value, event_id from h""",
 )
 def resample_stream(spark, sf):
-    sdf = _stream(spark, sf).withColumn("line", F.expr("user_id % 5"))
+    sdf = _closed(spark, _stream(spark, sf)).withColumn("line", F.expr("user_id % 5"))
     hourly = stream_resample(sdf, "ts", "1 hour", {"value": "avg", "event_id": "max"}, "1 hour", ["line"])
     return round_all(_drained(spark, window_start(hourly, "hour"), "resample"), ["value"])
 
@@ -98,12 +106,12 @@ def resample_stream(spark, sf):
     "stream_join_on_hour",
     f"""with a as (select date_trunc('hour', ts) as hour, avg(value) as value from events group by 1),
 b as (select date_trunc('hour', ts) as hour, max(event_id) as target_id from events where event_type = 'purchase' group by 1)
-select cast(hour as timestamp) as hour, {rounded_sql('value')} as value, target_id from a join b using (hour)
-where {WINDOWS_CLOSED}""",
+select cast(hour as timestamp) as hour, {rounded_sql('value')} as value, target_id from a join b using (hour)""",
 )
 def join_stream(spark, sf):
-    left = stream_resample(_stream(spark, sf), "ts", "1 hour", {"value": "avg"})
-    right = _stream(spark, sf).where("event_type = 'purchase'").withColumnRenamed("event_id", "target_id")
+    left = stream_resample(_closed(spark, _stream(spark, sf)), "ts", "1 hour", {"value": "avg"})
+    right = _closed(spark, _stream(spark, sf).where("event_type = 'purchase'"))
+    right = right.withColumnRenamed("event_id", "target_id")
     right = stream_resample(right, "ts", "1 hour", {"target_id": "max"})
     joined = window_start(stream_join_on_grain(left, right), "hour")
     return round_all(_drained(spark, joined, "join"), ["value"])
@@ -113,7 +121,7 @@ def join_stream(spark, sf):
 def dedup_stream(spark, sf):
     sdf = _stream(spark, sf)
     twice = sdf.unionByName(_stream(spark, sf))
-    return _drained(spark, stream_dedup(twice, "ts", ["event_id"], "40 days").select("event_id", "value"), "dedup")
+    return _drained(spark, stream_dedup(twice, "ts", ["event_id"], "1 hour").select("event_id", "value"), "dedup")
 
 
 _SEC = "epoch_us(ts) // 1000000"
@@ -128,9 +136,9 @@ u as (select *, value_diff_1h / h as value_velocity from v),
 a as (select *, (value_velocity - lag(value_velocity) over w) / h as value_acceleration from u window w as {_W})
 select user_id, ts, value, value_lag_1h, {rounded_sql('value_diff_1h')} as value_diff_1h,
   {rounded_sql('value_velocity', 4)} as value_velocity, {rounded_sql('value_acceleration', 2)} as value_acceleration
-from a where epoch_us(ts) <= (select epoch_us(max(ts)) // 1000 * 1000 - 3600000000 from events)""",
+from a""",
 )
 def refresh_stream(spark, sf):
-    fresh = stream_refresh(_stream(spark, sf), "ts", ["value"], ["user_id"], "1 hour")
+    fresh = stream_refresh(_closed(spark, _stream(spark, sf)), "ts", ["value"], ["user_id"], "1 hour")
     out = _drained(spark, fresh, "refresh").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     return round_all(out, {"value_diff_1h": 6, "value_velocity": 4, "value_acceleration": 2})
