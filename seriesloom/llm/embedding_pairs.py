@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .storing import stored as staged
@@ -176,12 +176,13 @@ def _links_of_size(own: DataFrame, size: int, threshold: float, most: int, sampl
     # a row for each pivot at most
     seats = seats.join(F.broadcast(sizes.where("homes > 0")), "cell")
     split = F.xxhash64("node")
-    guests = seats.select(
-        "cell", "node", F.lit(False).alias("home"), F.pmod(split, "guests").alias("guest"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("homes") - 1)).alias("host")
-    )
-    hosts = seats.where("home").select(
-        "cell", "node", F.lit(True).alias("home"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("guests") - 1)).alias("guest"), F.pmod(split, "homes").alias("host")
-    )
+
+    def each(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+    guest, host = F.pmod(split, "guests").alias("guest"), F.pmod(split, "homes").alias("host")
+    guests = seats.select("cell", "node", F.lit(False).alias("home"), guest, each("homes").alias("host"))
+    hosts = seats.where("home").select("cell", "node", F.lit(True).alias("home"), each("guests").alias("guest"), host)
     members = guests.unionByName(hosts).join(own.select("node", "vector", "copies"), "node")
 
     def search(group: pa.Table) -> pa.Table:

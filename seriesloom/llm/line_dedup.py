@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -136,7 +134,9 @@ def edit_links(lines: DataFrame, edits: int = 2, min_chars: int = 30, chunk: int
         lambda i: F.xxhash64(F.substring("code", 4 * _BLOCK * i + 1, F.lit(4 * _BLOCK))),
     )
     written = stored(
-        lines.join(sent_whole(needed), "id", "left_semi").select("id", "line", code).select("id", F.struct("code", block.alias("blocks")).alias("text"))
+        lines.join(sent_whole(needed), "id", "left_semi")
+        .select("id", "line", code)
+        .select("id", F.struct("code", block.alias("blocks")).alias("text"))
     )
     index = met.where("of_index").join(written, "id").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     index = index.groupBy("key", "chunk").agg(F.collect_list(F.struct("id", "text")).alias("held"))

@@ -9,7 +9,7 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storing import stored as staged
@@ -143,10 +143,6 @@ def linked_labels(codes: np.ndarray, distance: int, leaf: int = 64, fan: int = 1
     return out
 
 
-def _differ(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b))
-
-
 def fingerprint_links(codes: DataFrame, distance: int = 4, node_size: int = 4096, tile: int = 8192) -> DataFrame:
     """Links ``a`` - ``b`` between distinct ``code`` values, as many as their components need at most.
 
@@ -155,13 +151,14 @@ def fingerprint_links(codes: DataFrame, distance: int = 4, node_size: int = 4096
     dropped, and each pair left is one group. Every group is indexed and searched by ``linked_labels``.
     """
     masks = upper_masks(codes.count(), distance, node_size)
-    at = F.explode(F.array(*[F.struct(F.lit(i).alias("mask"), F.col("code").bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(masks)]))
-    nodes = codes.select("code", at.alias("n")).select("n.mask", "n.bits", "code")
-    small = F.lit(0)
+    under = [
+        F.struct(F.lit(i).alias("mask"), F.col("code").bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(masks)
+    ]
+    nodes = codes.select("code", F.explode(F.array(*under)).alias("n")).select("n.mask", "n.bits", "code")
     sizes = nodes.groupBy("mask", "bits").agg(F.count(F.lit(1)).alias("size"))
     large = staged(sizes.where(F.col("size") > tile))
     if large.isEmpty():
-        members = nodes.select("mask", "bits", small.alias("left"), small.alias("right"), "code")
+        members = nodes.select("mask", "bits", F.lit(0).alias("left"), F.lit(0).alias("right"), "code")
     else:
         members = _with_runs(nodes, large, distance, tile)
 
