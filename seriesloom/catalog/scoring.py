@@ -48,7 +48,7 @@ from .base import plant_sensors, plant_targets, query, table
 from .composites import gold_sql
 
 TARGET = "target_Si_{h}h"
-GRID = [{"maxIter": 3, "maxDepth": 2}, {"maxIter": 5, "maxDepth": 3}]
+GRID = [{"maxIter": 2, "maxDepth": 2}, {"maxIter": 3, "maxDepth": 3}]
 FOLDS = 3
 ALERT_HI, ALERT_LO, ALERT_DEV = 0.70, 0.20, 0.10
 GOLD = f"with {gold_sql(False)}, timed_gold as (select *, cast(epoch_us(si_dt) as double) as us from gold)"
