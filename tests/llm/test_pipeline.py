@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import corpus_pipeline
 from seriesloom.llm.line_dedup import line_dedup
 from seriesloom.llm.quality_bands import quality_bands
@@ -48,3 +50,12 @@ def test_odd_rows(spark, odd):
     for _, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.staged(stage(spark, docs, ""))
     assert docs.count() > 0
+
+
+def test_one_row_of_each_group_stays(spark):
+    rng = random.Random(3)
+    one, two, three = (" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(60)) for _ in range(3))
+    rows = [(None, one), (4, two), (4, two), (None, two), (7, three), (4, three), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.simhash_near_dedup(spark, docs, "").collect()]
+    assert sorted(left, key=str) == sorted([(None, one), (4, two), (4, three), (None, None)], key=str)
