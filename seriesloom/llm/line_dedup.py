@@ -161,13 +161,15 @@ def edit_links(lines: DataFrame, edits: int = 2, min_chars: int = 30, chunk: int
 
 
 def line_dedup(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 2, min_chars: int = 30
+    docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 2, min_chars: int = 30, short_chars: int = 10
 ) -> DataFrame:
     """The input with ``text`` cut to first lines, and ``n_lines`` and ``n_removed``.
 
-    Lines end at a line feed. Lines of at least ``min_chars`` code points that are equal, or lead to each other
-    over lines within ``edits`` edits, are one class. A class stays in the document with the smallest key that
-    has one of its lines, at its first place there, and is removed everywhere else. Shorter lines stay.
+    Lines end at a line feed. Lines that are equal, or lead to each other over lines within the edits that their
+    length allows, are one class: ``edits`` from ``min_chars`` code points, one less from ``short_chars``, none
+    below; of two lines the shorter one decides. Blank lines under ``min_chars`` stay, and with no ``edits`` at
+    all lines under it stay. A class stays in the document with the smallest key that has one of its lines, at its first
+    place there, and is removed everywhere else.
 
     Equal lines are counted before anything is compared. Rows with the same key and text share their fate;
     null keys come after all others, and where a class has only those each row keeps its first line of it.
@@ -176,11 +178,16 @@ def line_dedup(
     """
     lines_of = F.split(F.col(text), "\n")
     marked = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("hash"), F.posexplode(lines_of).alias("place", "line"))
-    marked = marked.where(F.char_length("line") >= min_chars)
+    n, words = F.char_length("line"), F.col("line").rlike(r"[^\x20\x09-\x0D]")
+    marked = marked.where((n >= min_chars) | F.lit(edits > 0) & words)
     counted = marked.groupBy("line").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("times"))
     lines = stored(counted.withColumn("id", F.monotonically_increasing_id()))
 
-    classes = components(edit_links(lines.select("id", "line"), edits, min_chars)).toDF("id", "class")
+    links = edit_links(lines.select("id", "line"), edits, min_chars)
+    if edits > 1 and short_chars < min_chars:
+        short = stored(lines.where(F.char_length("line").between(short_chars, min_chars + edits - 2)).select("id", "line"))
+        links = links.union(edit_links(short, edits - 1, short_chars))
+    classes = components(links).toDF("id", "class")
     classes = stored(classes)
     known = lines.join(sent_whole(classes), "id", "left").where("times > 1 or class is not null")
     known = known.select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), "first", F.coalesce("class", "id").alias("class"))

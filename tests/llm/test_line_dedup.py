@@ -114,3 +114,14 @@ def test_lines_that_share_most(spark):
     # a mutated line is next to its origin; other pairs are checked on a part
     assert got >= {(i, j) for i in range(60) for j in range(i + 1, 60) if near(lines[i], lines[j])}
     assert all(near(lines[i], lines[j]) for i, j in got)
+
+
+def test_short_lines(spark):
+    rows = [
+        (1, "All rights reserved.\nok\n\nfirst text\n" + "c" * 29),
+        (2, "All rights reserved.\nok\n\nfirst texts\nsecond\n" + "c" * 30),
+        (3, "All right reserved\nno\n\nsecund\nAll rights reserved!"),
+    ]
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # equal at any length, one edit from 10 code points, none below; blank lines stay
+    assert got == {1: (rows[0][1], 0), 2: ("\nsecond", 4), 3: ("All right reserved\nno\n\nsecund", 1)}
