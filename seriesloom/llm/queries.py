@@ -7,6 +7,8 @@ import os
 from pyspark.sql import functions as F
 
 from ..catalog.base import Query, table
+from . import byte_bpe
+from .alignment import alignment_scores
 from .bpe import encode_decode_digests
 from .embedding_pairs import embedding_links
 from .html_text import fit, main_text
@@ -16,11 +18,14 @@ from .pitman_yor import lm_scores
 from .quality_bands import quality_bands
 from .sharding import shuffled_shards
 from .simhash_gray import simhash_groups
-from .token_counts import token_counts
+from .spelling import spelling_forms, vocabulary
+from .token_counts import SPLIT, token_counts
 
 #: Where the vocabulary files of public tokenizers are.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 WORDS, BYTES = f"{TOKENIZERS}/word_bpe_49k.json", f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+MULTI = f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken"
+SIDE_A, SIDE_B = f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model"
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -97,3 +102,21 @@ def op10_quality_rules(spark, sf):
     return quality_bands(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio", "odd_share"
     )
+
+
+@_query
+def op11_cross_tokenizer_alignment(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return alignment_scores(docs, SIDE_A, SIDE_B)
+
+
+@_query
+def op12_spelling_variants(spark, sf):
+    words = vocabulary(table(spark, sf, "documents")).where("n >= 3")
+    return spelling_forms(words)
+
+
+@_query
+def op13_byte_bpe(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return byte_bpe.encode_decode_digests(docs, MULTI, SPLIT)
