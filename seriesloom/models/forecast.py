@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -67,11 +70,20 @@ def load_models(spark: SparkSession, path: str) -> dict[int, HorizonModel]:
     }
 
 
+def _learner(seed: int, params: Mapping) -> GBTRegressor:
+    return GBTRegressor(featuresCol=_X, labelCol=_Y, seed=seed, **{**PARAMS, **params})
+
+
 def fit_one(df: DataFrame, features: Sequence[str], target: str, seed: int = 42, **params) -> GBTRegressionModel:
     """One gradient-boosted regressor on the rows whose target is known."""
     known = df.where(F.col(target).isNotNull()).withColumn(_Y, F.col(target).cast("double"))
-    learner = GBTRegressor(featuresCol=_X, labelCol=_Y, seed=seed, **{**PARAMS, **params})
-    return learner.fit(assemble(known, features, [_Y]))
+    return _learner(seed, params).fit(assemble(known, features, [_Y]))
+
+
+def _side_by_side(fit: Callable[[Any], HorizonModel], of: Iterable[Any], parallelism: int) -> list[HorizonModel]:
+    """Fits whose many small jobs wait for the driver leave the cluster idle, so several run at a time."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(inheritable_thread_target(fit), of))
 
 
 def train_horizons(
@@ -81,14 +93,14 @@ def train_horizons(
     target: str = "target_Si_{h}h",
     params: Mapping[int, Mapping] | None = None,
     seed: int = 42,
+    parallelism: int = 4,
 ) -> dict[int, HorizonModel]:
     """An independent model per horizon. Pass a stored frame: every model reads it several times."""
-    return {
-        h: HorizonModel(
-            h, tuple(features), fit_one(df, features, target.format(h=h), seed, **(params or {}).get(h, {}))
-        )
-        for h in horizons
-    }
+
+    def fit(h: int) -> HorizonModel:
+        return HorizonModel(h, tuple(features), fit_one(df, features, target.format(h=h), seed, **(params or {}).get(h, {})))
+
+    return dict(zip(horizons, _side_by_side(fit, horizons, parallelism)))
 
 
 def time_cuts(df: DataFrame, ts: str, shares: Sequence[float]) -> list[int]:
@@ -112,24 +124,30 @@ def expanding_cv(
     grid: Sequence[Mapping],
     n_folds: int = 3,
     seed: int = 42,
+    stage: Callable[[DataFrame], DataFrame] = staged,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Error of every parameter set on folds that each train on all earlier rows.
 
     Fold k trains on the first k of n_folds + 1 equal time slices and is tested on the next one.
-    Returns one row per parameter set and fold; ``best_params`` picks from it.
+    Returns one row per parameter set and fold; ``best_params`` picks from it. The assembled rows are stored
+    once through ``stage``; every fold and set filters them by time.
     """
     known = df.where(F.col(target).isNotNull())
     cuts = time_cuts(known, ts, [k / (n_folds + 1) for k in range(1, n_folds + 1)] + [1.0])
-    at, results = epoch_us(ts), []
-    for i, params in enumerate(grid):
-        for k in range(n_folds):
-            train = known.where(at <= cuts[k])
-            test = known.where((at > cuts[k]) & (at <= cuts[k + 1]))
-            model = HorizonModel(0, tuple(features), fit_one(train, features, target, seed, **params))
-            metrics = forecast_metrics(model.predict(test), "pred", target)
-            results.append(
-                metrics.select(F.lit(i).alias("params_id"), F.lit(k + 1).alias("fold"), "n", "mae", "rmse", "r2")
-            )
+    timed = known.select(F.col(target).cast("double").alias(_Y), epoch_us(ts).alias("_at"), *features)
+    known = stage(assemble(timed, features, [_Y, "_at"]))
+    at, trials = F.col("_at"), [(i, k) for i in range(len(grid)) for k in range(n_folds)]
+
+    def fit(trial: tuple[int, int]) -> HorizonModel:
+        i, k = trial
+        return HorizonModel(0, tuple(features), _learner(seed, grid[i]).fit(known.where(at <= cuts[k])))
+
+    results = []
+    for (i, k), model in zip(trials, _side_by_side(fit, trials, parallelism)):
+        test = known.where((at > cuts[k]) & (at <= cuts[k + 1]))
+        metrics = forecast_metrics(model.on_vector(test, "pred"), "pred", _Y)
+        results.append(metrics.select(F.lit(i).alias("params_id"), F.lit(k + 1).alias("fold"), "n", "mae", "rmse", "r2"))
     return reduce(DataFrame.unionByName, results)
 
 

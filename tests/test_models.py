@@ -100,3 +100,69 @@ def test_isolation_forest_finds_planted_points(spark):
     many = df.crossJoin(spark.range(10).withColumnRenamed("id", "copy"))
     forest = fit_forest(many, ["p", "q"], ["id", "copy"], n_trees=20, sample=64)
     assert len(forest.trees) == 20 and all(t["size"][0] <= 64 for t in forest.trees)
+
+
+def _by_subsets(tree, row):
+    """Shapley values of one tree and row over all subsets of features."""
+    from itertools import combinations
+    from math import factorial
+
+    def expected(node, known):
+        f = tree.feature[node]
+        if f < 0:
+            return tree.value[node]
+        left, right = tree.left[node], tree.right[node]
+        if f in known:
+            return expected(left if row[f] <= tree.split[node] else right, known)
+        return (tree.cover[left] * expected(left, known) + tree.cover[right] * expected(right, known)) / tree.cover[node]
+
+    n, out = len(row), np.zeros(len(row))
+    for i in range(n):
+        others = [f for f in range(n) if f != i]
+        for k in range(n):
+            for s in combinations(others, k):
+                weight = factorial(k) * factorial(n - k - 1) / factorial(n)
+                out[i] += weight * (expected(0, {*s, i}) - expected(0, set(s)))
+    return expected(0, set()), out
+
+
+def test_shapley_values_against_all_subsets():
+    from seriesloom.models.attribution import Tree, shapley
+
+    rng = np.random.default_rng(4)
+    for _ in range(12):
+        nodes = []
+
+        def grow(cover, depth):
+            at = len(nodes)
+            nodes.append([-1, 0.0, -1, -1, rng.normal(), cover])
+            if depth and cover > 1:
+                share = int(rng.integers(1, cover))
+                nodes[at][:2] = int(rng.integers(0, 4)), float(rng.integers(0, 4))  # features repeat on a path
+                nodes[at][2] = grow(share, depth - 1)
+                nodes[at][3] = grow(cover - share, depth - 1)
+            return at
+
+        grow(60, 5)
+        c = list(zip(*nodes))
+        ints = [np.array(c[i], np.int64) for i in (0, 2, 3)]
+        tree = Tree(ints[0], np.array(c[1]), ints[1], ints[2], np.array(c[4]), np.array(c[5], float))
+        x = rng.integers(0, 5, (7, 4)).astype(float)
+        base, found = shapley([tree, tree], [1.0, 0.5], x)
+        for row, values in zip(x, found):
+            want_base, want = _by_subsets(tree, row)
+            assert np.allclose(values, 1.5 * want) and np.isclose(base, 1.5 * want_base)
+
+
+def test_tree_attribution_adds_up(frame, model):
+    from seriesloom.models.attribution import attribution_summary, tree_attribution
+
+    found = tree_attribution(model.predict(frame), model, ["t", "pred"]).collect()
+    assert len(found) == 400
+    assert all(abs(r["base"] + sum(r["effects"]) - r["pred"]) < 1e-9 for r in found)
+    effects = np.array([r["effects"] for r in found])
+    rows = {r["feature"]: r for r in attribution_summary(frame.withColumn("y", F.expr("if(a < 0.1, null, y)")), model, "y").collect()}
+    assert rows["a"]["n"] == frame.where("a >= 0.1").count() < 400
+    assert rows["a"]["mean_abs_effect"] > 5 * rows["b"]["mean_abs_effect"] and rows["a"]["direction"] > 0.9
+    whole = {r["feature"]: r["mean_abs_effect"] for r in attribution_summary(frame, model, "y").collect()}
+    assert np.allclose([whole[f] for f in model.features], np.abs(effects).mean(axis=0))
