@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.staging import stage_folder
 from ..sources.files import read_table
-from ..sources.messages import encode_json, read_stream
+from ..sources.messages import publish_stream, read_stream, to_folders
 from ..streaming.ingest import Topic, ingest_available, write_stream
 from ..streaming.live import stream_dedup, stream_join_on_grain, stream_refresh, stream_resample, window_start
 from .base import query, round_all, rounded_sql, table
@@ -44,50 +45,78 @@ def _drained(spark, sdf, name: str):
     return spark.read.schema(sdf.schema).parquet(f"{base}/out")
 
 
-def _topics(spark, sf, base: str) -> dict[str, Topic]:
-    ev = table(spark, sf, "events").withColumnRenamed("ts", "dt")
-    feeds = {"sensors": ev.where("event_type <> 'purchase'"), "targets": ev.where("event_type = 'purchase'")}
-    schema = (
-        T.StructType()
-        .add("dt", T.StringType())
-        .add("event_id", T.LongType())
-        .add("value", T.DoubleType())
-        .add("source_type", T.StringType())
-    )
-    topics = {}
-    for name, df in feeds.items():
-        path = f"{base}/messages/{name}"
-        encode_json(df.select("dt", "event_id", "value"), name).write.text(path)
-        topics[name] = Topic(schema, name, {"kind": "text", "path": path})
-    return topics
+_CONTENT = ["event_id", "user_id", "event_type", "value", "props"]
+_DATA_SETS = {"first": "sensors", "second": "sensors", "lab": "targets"}  # two data sets share a topic
+_TAG = "case when event_type = 'purchase' then 'lab' when event_id % 2 = 0 then 'first' else 'second' end"
+
+
+def _schema(columns) -> T.StructType:
+    kinds = {"event_id": T.LongType(), "user_id": T.LongType(), "value": T.DoubleType()}
+    schema = T.StructType().add("dt", T.StringType())
+    for c in [*columns, "source_type"]:
+        schema = schema.add(c, kinds.get(c, T.StringType()))
+    return schema
+
+
+def _published(spark, sf, base: str) -> dict[str, Topic]:
+    """All events as messages in the folder of their data set's topic; targets have a schema of their own."""
+    rows = _stream(spark, sf).selectExpr("ts as dt", *_CONTENT, f"{_TAG} as source_type")
+    for _ in range(2):  # the second run finds nothing new
+        publish_stream(rows, _DATA_SETS, to_folders(f"{base}/messages"), f"{base}/published").awaitTermination()
+    schemas = {"sensors": _schema(_CONTENT), "targets": _schema(["event_id", "value"])}
+    return {
+        name: Topic(schema, name, {"kind": "text", "path": f"{base}/messages/topic={name}/*"}) for name, schema in schemas.items()
+    }
 
 
 _PARTS = "cast(year(ts) as integer) as year, cast(month(ts) as integer) as month, cast(day(ts) as integer) as day"
+_READINGS = f"select {', '.join(_CONTENT)}, {_TAG} as source_type, {_PARTS} from events where event_type <> 'purchase'"
+_LAB = f"select event_id, null::bigint, null::varchar, value, null::varchar, 'lab', {_PARTS} from events where event_type = 'purchase'"
 
 
-@query(
-    "stream_ingest",
-    f"select event_id, value, 'sensors' as source_type, {_PARTS} from events where event_type <> 'purchase'",
-)
+@query("stream_ingest", f"{_READINGS} union all {_LAB}")
 def stream_ingest(spark, sf):
     base = _base(spark, "ingest")
-    topics = _topics(spark, sf, base)
-    ingest_available(spark, {"sensors": topics["sensors"]}, base)
-    return read_table(spark, f"{base}/sensors").select("event_id", "value", "source_type", "year", "month", "day")
+    topics = _published(spark, sf, base)
+    ingest_available(spark, topics, base)
+    parts = [*_CONTENT, "source_type", "year", "month", "day"]
+    both = read_table(spark, f"{base}/sensors").unionByName(read_table(spark, f"{base}/targets"), allowMissingColumns=True)
+    return both.select(*parts)
 
 
 @query(
     "stream_ingest_topics",
-    """select case when event_type = 'purchase' then 'targets' else 'sensors' end as source_type, count(*) as n,
+    """select case when event_type = 'purchase' then 'targets' else 'sensors' end as topic, count(*) as n,
   cast(day(ts) as integer) as day from events group by all""",
 )
 def stream_ingest_topics(spark, sf):
     base = _base(spark, "ingest")
-    topics = _topics(spark, sf, base)
+    topics = _published(spark, sf, base)
     ingest_available(spark, topics, base)
     ingest_available(spark, topics, base)  # continues from the checkpoints: nothing arrives twice
-    both = read_table(spark, f"{base}/sensors").unionByName(read_table(spark, f"{base}/targets"))
-    return both.groupBy("source_type", "day").agg(F.count(F.lit(1)).alias("n"))
+    counts = [
+        read_table(spark, f"{base}/{name}").groupBy(F.lit(name).alias("topic"), "day").agg(F.count(F.lit(1)).alias("n"))
+        for name in topics
+    ]
+    return counts[0].unionByName(counts[1])
+
+
+@query(
+    "stream_progress",
+    """select topic, count(*) as total_rows, true as several_batches from (
+  select case when event_type = 'purchase' then 'targets' else 'sensors' end as topic from events) group by topic""",
+)
+def stream_progress(spark, sf):
+    """Rows that the progress of each topic's query adds up to, read in one micro-batch a file."""
+    base = _base(spark, "progress")
+    topics = _published(spark, sf, base)
+    slow = {n: replace(t, source={**t.source, "rate_limit": 1}) for n, t in topics.items()}
+    for name, t in topics.items():  # several files a topic
+        spark.read.text(t.source["path"]).repartition(6).write.text(f"{base}/split/{name}")
+        slow[name] = replace(slow[name], source={**slow[name].source, "path": f"{base}/split/{name}"})
+    found = ingest_available(spark, slow, base)
+    rows = [(n, p["total_rows"], p["batches"] > 3) for n, p in found.items()]
+    return spark.createDataFrame(rows, "topic string, total_rows long, several_batches boolean")
 
 
 @query(

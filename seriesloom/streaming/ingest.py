@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..sources.files import with_date_parts
 from ..sources.messages import decode_json, read_stream
@@ -74,18 +75,69 @@ def start_ingest(
     }
 
 
+class Progress(StreamingQueryListener):
+    """Totals of streaming queries, added up from every micro-batch; ``recentProgress`` forgets all but the last
+    hundred. Counts only numbers a query (by run id), whatever the run's length.
+
+    Events come in on another thread and a moment late: ``wait`` returns when the end of a run has come in, and
+    by then all its batches have.
+    """
+
+    def __init__(self) -> None:
+        self._changed = threading.Condition()
+        self._runs: dict[str, dict] = {}
+
+    def _of(self, run_id: object) -> dict:
+        start = {"batch_id": None, "last_rows": 0, "total_rows": 0, "batches": 0, "active": True, "error": None}
+        return self._runs.setdefault(str(run_id), start)
+
+    def onQueryStarted(self, event: object) -> None:
+        with self._changed:
+            self._of(event.runId)
+
+    def onQueryProgress(self, event: object) -> None:
+        p = event.progress
+        with self._changed:
+            run = self._of(p.runId)
+            run |= {"batch_id": p.batchId, "last_rows": p.numInputRows, "batches": run["batches"] + 1}
+            run["total_rows"] += p.numInputRows
+
+    def onQueryIdle(self, event: object) -> None:
+        pass
+
+    def onQueryTerminated(self, event: object) -> None:
+        with self._changed:
+            self._of(event.runId).update(active=False, error=event.exception)
+            self._changed.notify_all()
+
+    def of(self, query: StreamingQuery) -> dict:
+        """Last micro-batch, its rows, rows and batches so far, whether the run goes on, and its error if any."""
+        with self._changed:
+            return dict(self._of(query.runId))
+
+    def wait(self, query: StreamingQuery, timeout_s: float = 60.0) -> dict:
+        """``of`` once the query has ended and its last event has come in."""
+        query.awaitTermination()
+        with self._changed:
+            self._changed.wait_for(lambda: not self._of(query.runId)["active"], timeout_s)
+            return dict(self._of(query.runId))
+
+
 def ingest_available(
     spark: SparkSession, topics: Mapping[str, Topic], base: str, partitioned: bool = True
 ) -> dict[str, dict]:
     """Ingest everything the topics hold and return; a later call continues from the checkpoints."""
-    queries = start_ingest(spark, topics, base, "available", partitioned)
-    for q in queries.values():
-        q.awaitTermination()
-    return {name: progress(q) for name, q in queries.items()}
+    seen = Progress()
+    spark.streams.addListener(seen)
+    try:
+        queries = start_ingest(spark, topics, base, "available", partitioned)
+        return {name: seen.wait(q) for name, q in queries.items()}
+    finally:
+        spark.streams.removeListener(seen)
 
 
 def progress(query: StreamingQuery) -> dict:
-    """Last micro-batch and the rows read so far."""
+    """Last micro-batch and the rows of the micro-batches that Spark still remembers; ``Progress`` counts all."""
     recent = query.recentProgress
     return {
         "batch_id": recent[-1]["batchId"] if recent else None,

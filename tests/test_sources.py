@@ -156,3 +156,52 @@ def test_time_range_skips_partitions(spark, tmp_path):
     assert len(df.select("_metadata.file_path").distinct().collect()) == 2
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "make_date(year" in plan[plan.index("PartitionFilters") :]
+
+
+def test_routed_publishing(spark, tmp_path):
+    from seriesloom.sources.messages import publish_stream, route, to_folders, unrouted
+
+    df = spark.createDataFrame([(i, f"2024-01-0{i % 5 + 1}", t) for i, t in enumerate(["a", "b", "c", None, "d", "a"])], "x int, dt string, source_type string")
+    topics = {"a": "sensors", "b": "sensors", "c": "targets"}
+    assert sorted((r.topic, r.value.count("source_type")) for r in route(df, topics).collect()) == [("sensors", 1)] * 3 + [("targets", 1)]
+    assert sorted(r.x for r in unrouted(df, topics).collect()) == [3, 4]
+    for part in (0, 1):
+        df.where(f"x % 2 = {part}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = read_stream(spark, "parquet", str(tmp_path / "in"), df.schema, rate_limit=1)
+    send, calls = to_folders(str(tmp_path / "out")), []
+
+    def twice(messages, batch_id):  # as after a failure between the write and the commit
+        calls.append(batch_id)
+        send(messages, batch_id)
+        send(messages, batch_id)
+
+    publish_stream(stream, topics, twice, str(tmp_path / "c")).awaitTermination()
+    found = spark.read.text(str(tmp_path / "out"))
+    assert len(calls) >= 2 and found.groupBy("topic").count().collect() and found.count() == 4
+    assert {r.topic: r.n for r in found.groupBy("topic").agg(F.count("*").alias("n")).collect()} == {"sensors": 3, "targets": 1}
+
+
+def test_progress_counts_all_batches(spark, tmp_path):
+    from seriesloom.streaming.ingest import Progress, await_any
+
+    spark.range(60).repartition(12).write.parquet(str(tmp_path / "in"))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    seen = Progress()
+    spark.streams.addListener(seen)
+    try:
+        stream = read_stream(spark, "parquet", str(tmp_path / "in"), "id long", rate_limit=1)
+        q = write_stream(stream, str(tmp_path / "out"), str(tmp_path / "c"), "available")
+        assert await_any(spark, 60)
+        total = seen.wait(q)
+        assert total["total_rows"] == 60 > progress(q)["total_rows"]
+        assert total["batches"] >= 12 and not total["active"] and total["error"] is None
+        spark.streams.resetTerminated()
+        failing = write_stream(stream.selectExpr("raise_error('no') as x"), str(tmp_path / "o2"), str(tmp_path / "c2"), "available")
+        with pytest.raises(Exception, match="no"):
+            failing.awaitTermination()
+        with pytest.raises(Exception, match="no"):
+            await_any(spark, 60)
+    finally:
+        spark.streams.resetTerminated()
+        spark.streams.removeListener(seen)
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
