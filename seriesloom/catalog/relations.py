@@ -180,15 +180,16 @@ def top_types(spark, sf):
 
 @query(
     "union_tagged",
-    """select event_id, value, null::varchar as note, 'first' as source_type from events where event_type = 'click'
-union all select event_id, null, event_type, 'second' from events where event_type = 'view'""",
+    """select event_id, value, null::varchar as note, 'first' as source_type from events where event_type in ('click', 'purchase')
+union all select event_id, null, event_type, 'second' from events where event_type not in ('click', 'purchase')""",
 )
 def tagged(spark, sf):
     ev = table(spark, sf, "events")
+    measured = F.col("event_type").isin("click", "purchase")
     return union_tagged(
         {
-            "first": ev.where("event_type = 'click'").select("event_id", "value"),
-            "second": ev.where("event_type = 'view'").select("event_id", F.col("event_type").alias("note")),
+            "first": ev.where(measured).select("event_id", "value"),
+            "second": ev.where(~measured).select("event_id", F.col("event_type").alias("note")),
         }
     )
 

@@ -63,7 +63,7 @@ def impute(
 ) -> DataFrame:
     """Replace missing and non-positive values of flagged rows by the fill value of the column.
 
-    NaN counts as missing and leaves as NULL in rows that are not flagged. ``fill`` is a one-row frame,
+    NaN counts as missing and leaves as NULL in rows that are not flagged or columns without a fill value. ``fill`` is a one-row frame,
     attached lazily, or a mapping, which gives smaller generated code.
     """
     if isinstance(fill, DataFrame):
@@ -75,11 +75,13 @@ def impute(
         value = {c: F.lit(fill[c]) for c in cols if fill.get(c) is not None}
 
     def repaired(c: str) -> Column:
+        if c not in value:
+            return F.when(~F.isnan(c), F.col(c)).alias(c)
         flagged = F.col(flag) == 1
         sound = (~flagged | (F.col(c) > 0)) & ~F.isnan(c)
         return F.when(sound, F.col(c)).when(flagged, value[c]).alias(c)
 
-    return source.select(*[repaired(c) if c in value else F.col(c) for c in df.columns])
+    return source.select(*[repaired(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def fill_missing(df: DataFrame, cols: Sequence[str], value: float = 0.0) -> DataFrame:

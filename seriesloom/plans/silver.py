@@ -42,7 +42,7 @@ def build_silver(
     if drop_outliers:
         readings = readings.where(F.col("is_outlier") == 0)
     readings = impute(readings, cols, "is_outlier", pool)
-    hourly = resample(readings, at, "hour", dict.fromkeys(cols, "avg"), keys)
+    hourly = resample(readings, at, "hour", dict.fromkeys(cols, "avg"), keys, without_nan=True)  # impute left none
 
     (target,) = c.target
     labelled = (

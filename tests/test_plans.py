@@ -84,3 +84,18 @@ def test_audit(spark):
     df = spark.createDataFrame([(T0 + timedelta(hours=i), float(i)) for i in range(5)], "t timestamp_ntz, v double")
     got = {r["metric"]: r["value"] for r in audit({"x": Layer(df, "t", "v")}).collect()}
     assert got["rows"] == 5 and got["columns"] == 2 and got["value_p50"] == 2 and got["hours_p100"] == 1
+
+
+def test_generated_methods_of_the_silver_plan_are_compiled(spark, sf):
+    """The JVM leaves methods above 8,000 bytes of bytecode interpreted."""
+    from seriesloom.catalog import QUERIES
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = QUERIES["silver_build"](spark, sf)._jdf.queryExecution().executedPlan()
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        stages = debug.codegenStringSeq(plan)
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+        assert sizes and max(sizes) <= 8000, sizes
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
