@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import nan_to_null
 
-DIRECT_ROWS = 1_000_000
+DIRECT_ROWS = 20_000
 _ACCURACY = 10_000
 
 
