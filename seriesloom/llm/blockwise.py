@@ -24,7 +24,8 @@ from .storing import stored
 
 
 class Exploded(NamedTuple):
-    """One batch of rows: the columns to keep, where each row's elements end, and all elements in order."""
+    """One batch of rows: the columns to keep, where each row's elements end, and all elements in order, as an
+    array of elements or as one of their numbers in a dictionary."""
 
     rows: pa.RecordBatch
     ends: np.ndarray
@@ -43,11 +44,15 @@ def _table(data: bytes) -> pa.Table:
 
 
 def _places(places: np.ndarray) -> pa.RecordBatch:
-    small = np.uint16 if not len(places) or places.max() < 1 << 16 else np.uint32
-    return pa.record_batch({"place": places.astype(small)})
+    """Places as four planes of bytes, of which the upper ones are nearly all zero."""
+    return pa.record_batch({"place": places.astype("<u4").view("u1").reshape(-1, 4).T.ravel()})
 
 
-def cut(batch: pa.RecordBatch, sizes: np.ndarray, most: int = 24 << 20) -> Iterator[pa.RecordBatch]:
+def _placed(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def cut(batch: pa.RecordBatch, sizes: np.ndarray, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive slices of a batch of about ``most`` bytes by the given size of each row; a larger row comes
     alone."""
     start, held = 0, 0
@@ -79,7 +84,9 @@ def explode(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterato
         split, number = make(), TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in split(batch) if batch.num_rows else ():
-                coded = part.elements.dictionary_encode()
+                coded = part.elements
+                if not isinstance(coded, pa.DictionaryArray):
+                    coded = coded.dictionary_encode()
                 places = coded.indices.to_numpy(zero_copy_only=False)
                 n = len(coded.dictionary)
                 row = [number], [_bytes(part.rows)], [part.ends.astype("<i8").tobytes()], [_bytes(_places(places))]
@@ -142,7 +149,7 @@ def reassemble(
             return arrow.empty_table()
         rows = _table(left["rows"][0].as_py()).combine_chunks()
         ends = np.frombuffer(left["ends"][0].as_py(), "<i8")
-        places = _table(left["places"][0].as_py())["place"].to_numpy().astype(np.int64)
+        places = _placed(_table(left["places"][0].as_py())["place"].to_numpy())
         parts = [_table(x) for x in right["part"].to_pylist()]
         values = pa.concat_tables(parts).sort_by("place").combine_chunks() if parts else pa.table({"place": []})
         kept = rows.to_batches()[0] if rows.num_rows else pa.RecordBatch.from_pylist([], rows.schema)

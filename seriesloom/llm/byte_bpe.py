@@ -128,6 +128,14 @@ def token_bytes(spark: Any, path: str) -> DataFrame:
     return F.broadcast(spark.createDataFrame(rows, "id int, bytes binary"))
 
 
+class _Numbers(dict):
+    """Words in the order of their first occurrence."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 def _exploded(docs: DataFrame, pattern: str, text: str) -> DataFrame:
     unlike = docs.sparkSession.sparkContext.broadcast(unlike_characters())
     kept = [c for c in docs.columns if c != text]
@@ -137,12 +145,15 @@ def _exploded(docs: DataFrame, pattern: str, text: str) -> DataFrame:
 
         def run(batch: pa.RecordBatch) -> Iterator[Exploded]:
             for part in cut(batch, text_sizes(batch.column(text))):
-                words: list[str] = []
-                ends = []
+                numbers, parts, ends, total = _Numbers(), [np.zeros(0, np.int32)], [], 0
                 for x in part.column(text).to_pylist():
-                    words += split(x) if x else ()
-                    ends.append(len(words))
-                yield Exploded(part.select(kept), np.array(ends), pa.array(words, pa.string()).cast(pa.binary()))
+                    if x:
+                        parts.append(np.fromiter(map(numbers.__getitem__, split(x)), np.int32))
+                        total += len(parts[-1])
+                    ends.append(total)
+                words = pa.array([w.encode() for w in numbers], pa.binary())
+                coded = pa.DictionaryArray.from_arrays(pa.array(np.concatenate(parts)), words)
+                yield Exploded(part.select(kept), np.array(ends), coded)
 
         return run
 
@@ -159,21 +170,27 @@ def encode_words(words: DataFrame, path: str, word: str = "element") -> DataFram
     return with_computed(words, {"ids": "array<int>"}, make)
 
 
-def decode_words(encoded: DataFrame, path: str, word: str = "element") -> DataFrame:
-    """The encoded words with ``bytes``, joined from the token-byte table in the order of their ids."""
-    tokens = encoded.select(word, F.posexplode("ids").alias("at", "id"))
-    joined = tokens.join(token_bytes(encoded.sparkSession, path), "id")
-    pieces = joined.groupBy(word).agg(F.sort_array(F.collect_list(F.struct("at", "id", "bytes"))).alias("p"))
-    whole = F.aggregate("p.bytes", F.lit(b""), lambda a, b: F.concat(a, b))
-    return pieces.select(word, F.col("p.id").alias("ids"), whole.alias("bytes"))
+def with_bytes(encoded: DataFrame, path: str, ids: str = "ids", out: str = "bytes") -> DataFrame:
+    """The input with the bytes of its ids, looked up in the token-byte table.
+
+    The table is one array of at most the vocabulary, read by id. A join on exploded ids would shuffle all tokens
+    of all words to put them together again.
+    """
+    every = token_bytes(encoded.sparkSession, path)
+    size = every.agg(F.max("id")).first()[0] + 1
+    slots = encoded.sparkSession.range(size).select(F.col("id").cast("int")).join(every, "id", "left")
+    rows = slots.agg(F.sort_array(F.collect_list(F.struct("id", F.hex("bytes").alias("hex")))).alias("t"))
+    held = encoded.withColumn("_table", rows.select(F.col("t.hex")).scalar())
+    texts = F.transform(ids, lambda i: F.element_at("_table", i + 1))
+    return held.withColumn(out, F.unhex(F.array_join(texts, ""))).drop("_table")
 
 
 def _looked_up(docs: DataFrame, path: str, pattern: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """The blocks of a table, and ids and bytes of every word of every block."""
+    """The blocks of a table, and the ids of every word of every block."""
     blocks = _exploded(docs, pattern, text)
     places = elements(blocks)
     words = stored(encode_words(places.select("element").distinct(), path))
-    return blocks, places.join(decode_words(words, path), "element").drop("element")
+    return blocks, places.join(words, "element").drop("element")
 
 
 def _gather(values: pa.ChunkedArray, places: np.ndarray) -> pa.Array:
@@ -210,7 +227,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
 
         return run
 
-    return reassemble(blocks, found.drop("bytes"), schema, make)
+    return reassemble(blocks, found, schema, make)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -285,4 +302,4 @@ def encode_decode_digests(docs: DataFrame, path: str, pattern: str, text: str =
 
         return run
 
-    return reassemble(blocks, found, schema, make)
+    return reassemble(blocks, with_bytes(found, path), schema, make)
