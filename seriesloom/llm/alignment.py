@@ -6,11 +6,13 @@ import hashlib
 import json
 import os
 from collections.abc import Callable, Iterator, Mapping
+from itertools import accumulate
 from typing import Any, NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,8 +20,9 @@ from tokenizers import Tokenizer
 
 from .batches import per_process, with_computed
 from .blockwise import Exploded, cut, elements, explode, occurrences, reassemble, text_sizes
-from .bpe import OffsetTable, _byte_symbols
+from .bpe import _FOREIGN, _byte_symbols
 from .storing import stored
+from .token_counts import SPLIT
 
 _SHIFT = 20  # an id pair is one number: A's id, then 20 bits of B's
 _WIDE = 4096  # links of a group that are listed one by one
@@ -37,7 +40,7 @@ def diagonal_groups(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]
     n = len(a)
     a_ends, b_ends, lengths = [], [], []
     while i < n:
-        start, step = i, 1
+        start, step = i, 4
         while i + step <= n and a[i : i + step] == b[j : j + step]:
             i += step
             j += step
@@ -102,8 +105,22 @@ class Tokens(NamedTuple):
 
     a: np.ndarray
     b: np.ndarray
-    a_ends: np.ndarray
-    b_ends: np.ndarray
+    a_ends: list[int]
+    b_ends: list[int]
+
+
+def _as_ranks(data: dict, texts: dict[int, bytes]) -> tiktoken.Encoding | None:
+    """The same encoding for tiktoken, which is faster, if the file is plain byte-level BPE with merges in the order
+    of ids. The libraries class characters beyond U+017F by different versions of Unicode, so it serves texts
+    without them."""
+    model, split = data["model"], data["pre_tokenizer"] or {}
+    ids = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    plain = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+    if not plain or data["normalizer"] or model.get("ignore_merges") or ids != sorted(set(ids)):
+        return None
+    special = {t["id"] for t in data["added_tokens"]}
+    ranks = {t: i for i, t in texts.items() if i not in special}
+    return tiktoken.Encoding("fast", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
 
 class Tokenizers:
@@ -118,14 +135,14 @@ class Tokenizers:
         ids: dict[str, int] = data["model"]["vocab"]
         special = {t["id"]: t["content"].encode() for t in data["added_tokens"]}
         texts = {i: bytes(byte[c] for c in t) for t, i in ids.items() if all(c in byte for c in t)} | special
-        self.a_bytes = OffsetTable([texts.get(i, b"") for i in range(max(texts) + 1)])
+        self.a_bytes = [texts.get(i, b"") for i in range(max(texts) + 1)]
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model_b)
         size = self.b.get_piece_size()
         pieces = [self.b.id_to_piece(i) for i in range(size)]
-        self.b_bytes = OffsetTable(
-            [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        )
-        decimal_a = [b"%d" % i for i in range(len(self.a_bytes.sizes))]
+        self.b_bytes = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.fast = _as_ranks(data, texts)
+        self.a_sizes, self.b_sizes = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
+        decimal_a = [b"%d" % i for i in range(len(self.a_bytes))]
         decimal_b = [b"%d" % i for i in range(size)]
         #: ids as the digest writes them: inside a group, then at the end of A's and of B's part
         self.written = [x + end for ids, ends in ((decimal_a, (b",", b"|")), (decimal_b, (b",", b";"))) for end in ends for x in ids]
@@ -133,18 +150,22 @@ class Tokenizers:
     def __call__(self, texts: list[str]) -> Iterator[Tokens | None]:
         """Tokens of each text; None where either tokenizer's bytes are not a space and the text."""
         spaced = [" " + x for x in texts]
-        for text, encoded, ids in zip(spaced, self.a.encode_batch_fast(spaced, add_special_tokens=False), self.b.encode(texts, num_threads=1)):
-            a, b = np.array(encoded.ids, np.int64), np.array(ids, np.int64)
+        for text, b in zip(spaced, self.b.encode(texts, num_threads=1)):
+            if self.fast is not None and not _FOREIGN.search(text):
+                a = self.fast.encode_ordinary(text)
+            else:
+                a = self.a.encode(text, add_special_tokens=False).ids
             whole = text.encode()
-            if self.a_bytes(a) != whole or self.b_bytes(b) != whole:
+            if b"".join(map(self.a_bytes.__getitem__, a)) != whole or b"".join(map(self.b_bytes.__getitem__, b)) != whole:
                 yield None
-            else:
-                yield Tokens(a, b, np.cumsum(self.a_bytes.sizes[a]), np.cumsum(self.b_bytes.sizes[b]))
+                continue
+            ends = (list(accumulate(map(sizes.__getitem__, x))) for sizes, x in ((self.a_sizes, a), (self.b_sizes, b)))
+            yield Tokens(np.array(a, np.int64), np.array(b, np.int64), *ends)
 
     def digest(self, tokens: Tokens, a_ends: np.ndarray, b_ends: np.ndarray) -> str:
         """SHA-256 of all groups written as ``a1,a2|b1;a3|b2,b3``."""
-        n_a, n_b = len(self.a_bytes.sizes), len(self.b_bytes.sizes)
-        a, b = tokens.a.copy(), tokens.b + 2 * n_a
+        n_a, n_b = len(self.a_bytes), len(self.b_bytes)
+        a, b = tokens.a.copy(), tokens.b + 2 * n_a  # places in ``written``
         a[a_ends - 1] += n_a
         b[b_ends - 1] += n_b
         parts = np.empty(len(a) + len(b), np.int64)
@@ -153,8 +174,7 @@ class Tokenizers:
         group_b = np.repeat(np.arange(len(b_ends)), np.diff(b_ends, prepend=0))
         parts[np.arange(len(a)) + np.concatenate([[0], b_ends])[group_a]] = a
         parts[np.arange(len(b)) + a_ends[group_b]] = b
-        written = self.written
-        return hashlib.sha256(b"".join([written[k] for k in parts.tolist()])[:-1]).hexdigest()
+        return hashlib.sha256(b"".join(map(self.written.__getitem__, parts.tolist()))[:-1]).hexdigest()
 
 
 def _tools(docs: DataFrame, path_a: str, path_b: str) -> Callable[[], Tokenizers]:
@@ -186,7 +206,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, text: str = "text") -> Data
                 if tokens is None or not len(tokens.b):
                     row = ([], [], [], [])
                 else:
-                    row = (tokens.a, tokens.b, *diagonal_groups(tokens.a_ends.tolist(), tokens.b_ends.tolist()))
+                    row = (tokens.a, tokens.b, *diagonal_groups(tokens.a_ends, tokens.b_ends))
                 for name, value in zip(new, row):
                     out[name].append(value)
             return out
@@ -230,7 +250,7 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, text: str = "text"
                         if tokens is None or not len(tokens.b):
                             figures.append((0, 0, 0, 0, ""))
                         else:
-                            a_ends, b_ends = diagonal_groups(tokens.a_ends.tolist(), tokens.b_ends.tolist())
+                            a_ends, b_ends = diagonal_groups(tokens.a_ends, tokens.b_ends)
                             p, w = group_links(tokens.a, tokens.b, a_ends, b_ends)
                             pairs.append(p)
                             links.append(w)
