@@ -83,7 +83,7 @@ def fit_one(df: DataFrame, features: Sequence[str], target: str, seed: int = 42,
 def _side_by_side(fit: Callable[[Any], HorizonModel], of: Iterable[Any], parallelism: int) -> list[HorizonModel]:
     """Fits whose many small jobs wait for the driver leave the cluster idle, so several run at a time."""
     with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(inheritable_thread_target(fit), of))
+        return list(pool.map(inheritable_thread_target(SparkSession.active())(fit), of))
 
 
 def train_horizons(
