@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators.resample import resample
@@ -19,6 +21,8 @@ from ..operators.stats import (
 from ..operators.blocks import HOUR
 from ..operators.windows import horizon_targets
 from ..plans.audit import Layer, audit
+from ..plans.monitoring import update_drift_history
+from ..sources.staging import stage_folder
 from .base import query, round_all, rounded_sql, table
 
 COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -149,6 +153,23 @@ def drift_monitor(spark, sf):
     return round_all(df.select("event_id", "rolling_mae", "drift"), ["rolling_mae"])
 
 
+@query(
+    "drift_history",
+    f"""with e as (select event_id, {SEC} as s, strftime(ts, '%Y-%m-%d') as day, abs(50e0 - value) as abs_err from events),
+r as (select event_id, day, avg(abs_err) over (order by s range between 604800 preceding and current row) as m from e)
+select event_id, day, {rounded_sql('m')} as rolling_mae,
+  cast(case when m > 4e1 or m > 28e0 * 125e-2 then 1 else 0 end as integer) as drift from r""",
+)
+def drift_history(spark, sf):
+    """Two increments, the second repeated: the first ends in the middle of a day."""
+    df = table(spark, sf, "events").withColumn("pred", F.lit(50.0))
+    path = f"{stage_folder(spark)}/drift-{uuid.uuid4().hex}"
+    ends = df.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    for part in (df.where(F.col("ts") < ends["a"] + (ends["b"] - ends["a"]) / 2), df, df):
+        history = update_drift_history(part, path, "ts", "pred", "value", baseline_mae=28.0, abs_limit=40.0)
+    return round_all(history.select("event_id", F.col("day").cast("string"), "rolling_mae", "drift"), ["rolling_mae"])
+
+
 def _layer_sql(name: str, source: str, columns: int, value: str, part: str, order: str) -> str:
     gap = f"(lead({SEC}) over ({part} order by {order}) - {SEC}) / 3600e0"
     cells = [

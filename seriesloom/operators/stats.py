@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,22 +70,53 @@ def corr(df: DataFrame, a: str, b: str, out: str = "corr") -> DataFrame:
     return nan_to_null(df, [a, b]).agg(F.corr(a, b).alias(out))
 
 
-def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """All pairs (a, b, corr), both directions and the diagonal; NULL and NaN are left out pair by pair."""
-    df = nan_to_null(df, list(cols))
-    pairs = list(combinations(cols, 2))
-    agg = df.agg(
-        *[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
-        *[F.corr(c, c).alias(f"d{i}") for i, c in enumerate(cols)],
-    )
+_MOMENTS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+
+
+def co_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """For each pair of columns (``i`` <= ``j``, their places): rows with both values, and the sums of x, y, their
+    squares and their product over these rows.
+
+    Values are taken relative to a value near the middle of their column, which keeps the sums free of
+    cancellation and those of a constant column at zero. A task adds up matrix products of its Arrow batches and
+    sends one row a pair, whatever the number of rows; Spark adds these up, combined before the shuffle. NULL and
+    NaN are no values.
+    """
+    cols = list(cols)
+    df = nan_to_null(df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]), [f"c{i}" for i in range(len(cols))])
+    middles = df.agg(*[F.percentile_approx(c, 0.5, 1000).alias(c) for c in df.columns]).first()
+    middle = np.array([0.0 if m is None or not np.isfinite(m) else m for m in middles])
+    left, right = np.triu_indices(len(cols))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = [np.zeros((len(middle), len(middle))) for _ in _MOMENTS]
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) - middle
+            there = ~np.isnan(x)
+            x, m = np.where(there, x, 0.0), there.astype(float)
+            first, second = x.T @ m, (x * x).T @ m
+            for total, part in zip(sums, (m.T @ m, first, first.T, second, second.T, x.T @ x)):
+                total += part
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(v) for v in (left.astype(np.int32), right.astype(np.int32), *(s[left, right] for s in sums))], ["i", "j", *_MOMENTS]
+        )
+
+    parts = df.mapInArrow(run, "i int, j int, " + ", ".join(f"{c} double" for c in _MOMENTS))
+    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in _MOMENTS])
 
-    def cell(a: str, b: str, value: str) -> Column:
-        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(value).alias("corr"))
 
-    cells = [cell(c, c, f"d{i}") for i, c in enumerate(cols)]
-    for i, (a, b) in enumerate(pairs):
-        cells += [cell(a, b, f"r{i}"), cell(b, a, f"r{i}")]
-    return agg.select(F.inline(F.array(*cells)))
+def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """All pairs (a, b, corr), both directions and the diagonal, in one pass; NULL and NaN are left out pair by
+    pair. A pair has no correlation (NULL) with less than two rows, or if a column is constant or infinite there."""
+    names = F.array(*[F.lit(c) for c in cols])
+    x, y = (F.col("n") * F.col(f"s{v}{v}") - F.col(f"s{v}") * F.col(f"s{v}") for v in "xy")
+    both = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
+    value = F.when((F.col("n") > 1) & (x > 0) & (y > 0), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), both / (F.sqrt(x) * F.sqrt(y)))))
+    pairs = co_moments(df, cols).select("i", "j", F.nanvl(value, F.lit(None).cast("double")).alias("corr"))
+    k, at = len(cols), F.col("id").cast("int")
+    cells = df.sparkSession.range(k * k).select((at / k).cast("int").alias("a"), (at % k).alias("b"))
+    cells = cells.withColumns({"i": F.least("a", "b"), "j": F.greatest("a", "b")}).join(pairs, ["i", "j"], "left")
+    return cells.select(F.get(names, F.col("a")).alias("a"), F.get(names, F.col("b")).alias("b"), "corr")
 
 
 def rank_by_corr(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
