@@ -266,7 +266,7 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, text: str = "text"
 
         return run
 
-    return explode(docs, make, "long")
+    return explode(docs, make, "long", F.octet_length(text))
 
 
 _FIGURES = ["n_a", "n_b", "n_groups", "n_links", "groups_sha256"]

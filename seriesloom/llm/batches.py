@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from types import ModuleType
 from typing import Any
 
@@ -53,6 +53,14 @@ def with_computed(
     return df.mapInArrow(run, schema)
 
 
+def free_name(columns: Iterable[str], name: str) -> str:
+    """``name`` with as many underscores before it as keep it apart from all columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def per_process(key: Any, build: Callable[[], Any]) -> Any:
     """What ``build`` returns, kept under ``key`` as long as the Python process lives.
 

@@ -15,12 +15,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .storing import stored
+from .storing import stored_by
 
 
 class Exploded(NamedTuple):
@@ -71,12 +71,23 @@ def text_sizes(column: pa.Array) -> np.ndarray:
     return pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def explode(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[Exploded]]], element: str) -> DataFrame:
+def explode(
+    df: DataFrame,
+    make: Callable[[], Callable[[pa.RecordBatch], Iterator[Exploded]]],
+    element: str,
+    size: Column,
+    bucket_bytes: int = 32 << 20,
+) -> DataFrame:
     """A stored table with a row for each block: ``block``, ``rows``, ``ends`` and ``places`` (packed),
-    ``elements``, its distinct elements as an array of SQL type ``element``, and ``counts``, how often each occurs.
+    ``elements``, its distinct elements as an array of SQL type ``element``, the most frequent first, and
+    ``counts``, how often each occurs.
 
-    ``make`` is called once per task and returns the function that turns a batch into blocks.
+    ``make`` is called once per task and returns the function that turns a batch into blocks. The table is
+    bucketed by block, so that it need not move when it is reassembled; ``size``, the bytes of a row, gives the
+    number of buckets, at most Spark's limit of 100,000.
     """
+    total = df.agg(F.sum(size)).first()[0] or 0
+    buckets = min(100_000, max(8, -(-total // bucket_bytes)))
     schema = f"block long, rows binary, ends binary, places binary, counts array<int>, elements array<{element}>"
     arrow = to_arrow_schema(T.StructType.fromDDL(schema))
 
@@ -87,16 +98,20 @@ def explode(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterato
                 coded = part.elements
                 if not isinstance(coded, pa.DictionaryArray):
                     coded = coded.dictionary_encode()
-                places = coded.indices.to_numpy(zero_copy_only=False)
                 n = len(coded.dictionary)
+                counts = np.bincount(coded.indices.to_numpy(zero_copy_only=False), minlength=n).astype(np.int32)
+                order = np.argsort(-counts, kind="stable")
+                number_of = np.empty(n, np.int32)
+                number_of[order] = np.arange(n)
+                places = number_of[coded.indices.to_numpy(zero_copy_only=False)]
                 row = [number], [_bytes(part.rows)], [part.ends.astype("<i8").tobytes()], [_bytes(_places(places))]
-                lists = pa.array(np.bincount(places, minlength=n).astype(np.int32)), coded.dictionary
+                lists = pa.array(counts[order]), coded.dictionary.take(pa.array(order))
                 arrays = [pa.array(x, f.type) for x, f in zip(row, arrow)]
                 arrays += [pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), x) for x in lists]
                 yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(arrays, arrow)], schema=arrow)
                 number += 1
 
-    return stored(df.mapInArrow(run, schema))
+    return stored_by(df.mapInArrow(run, schema), "block", buckets)
 
 
 def elements(blocks: DataFrame, name: str = "element") -> DataFrame:

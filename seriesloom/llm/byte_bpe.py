@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 
 from .batches import per_process, with_computed
 from .blockwise import Exploded, cut, elements, explode, reassemble, text_sizes
-from .storing import stored
 
 _NEVER = 1 << 62
 _SHORT = 100
@@ -157,40 +156,29 @@ def _exploded(docs: DataFrame, pattern: str, text: str) -> DataFrame:
 
         return run
 
-    return explode(docs, make, "binary")
+    return explode(docs, make, "binary", F.octet_length(text))
 
 
 def encode_words(words: DataFrame, path: str, word: str = "element") -> DataFrame:
-    """Distinct words with ``ids``, the ranks that each word's merges end in, as an array."""
+    """The input with ``ids``, the ranks that each row's word ends in. Rows are dealt and sorted by word, so that
+    a word is encoded once however many rows have it (once more where its rows cross Arrow batches)."""
     ranks = words.sparkSession.sparkContext.broadcast(read_ranks(path))
 
     def make() -> Callable[[pa.RecordBatch], dict[str, Any]]:
-        return lambda batch: {"ids": [merge(w, ranks.value) for w in batch.column(word).to_pylist()]}
+        def run(batch: pa.RecordBatch) -> dict[str, Any]:
+            coded = batch.column(word).dictionary_encode()
+            ids = pa.array([merge(w, ranks.value) for w in coded.dictionary.to_pylist()], pa.list_(pa.int32()))
+            return {"ids": ids.take(coded.indices)}
 
-    return with_computed(words, {"ids": "array<int>"}, make)
-
-
-def with_bytes(encoded: DataFrame, path: str, ids: str = "ids", out: str = "bytes") -> DataFrame:
-    """The input with the bytes of its ids, looked up in the token-byte table.
+        return run
 
-    The table is one array of at most the vocabulary, read by id. A join on exploded ids would shuffle all tokens
-    of all words to put them together again.
-    """
-    every = token_bytes(encoded.sparkSession, path)
-    size = every.agg(F.max("id")).first()[0] + 1
-    slots = encoded.sparkSession.range(size).select(F.col("id").cast("int")).join(every, "id", "left")
-    rows = slots.agg(F.sort_array(F.collect_list(F.struct("id", F.hex("bytes").alias("hex")))).alias("t"))
-    held = encoded.withColumn("_table", rows.select(F.col("t.hex")).scalar())
-    texts = F.transform(ids, lambda i: F.element_at("_table", i + 1))
-    return held.withColumn(out, F.unhex(F.array_join(texts, ""))).drop("_table")
+    return with_computed(words.repartition(word).sortWithinPartitions(word), {"ids": "array<int>"}, make)
 
 
 def _looked_up(docs: DataFrame, path: str, pattern: str, text: str) -> tuple[DataFrame, DataFrame]:
     """The blocks of a table, and the ids of every word of every block."""
     blocks = _exploded(docs, pattern, text)
-    places = elements(blocks)
-    words = stored(encode_words(places.select("element").distinct(), path))
-    return blocks, places.join(words, "element").drop("element")
+    return blocks, encode_words(elements(blocks), path).select("block", "place", "ids")
 
 
 def _gather(values: pa.ChunkedArray, places: np.ndarray) -> pa.Array:
@@ -208,8 +196,9 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
     """The other columns of the input with the ids of each text as an array ``out``.
 
     Every match of ``pattern`` (a word) is encoded for itself by the ranks in ``path``, a file on the driver;
-    what the pattern leaves out is dropped, as tiktoken does. Words are exploded with their places in blocks,
-    each distinct word of the corpus is encoded once, and ids are joined back by word and reassembled by place.
+    what the pattern leaves out is dropped, as tiktoken does. Words are exploded with their places in blocks and
+    shuffled by word, each distinct word of the corpus is encoded once, and ids go back to their blocks, where
+    they are reassembled by place.
     Null and empty texts have no ids. Rows, repeated ones too, come back one to one; a column named like ``out``
     is replaced.
     """
@@ -249,7 +238,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
 
         return run
 
-    blocks = explode(kept, split, "int")
+    blocks = explode(kept, split, "int", F.size(F.coalesce(ids, F.array())) * 4)
     found = elements(blocks, "id").join(token_bytes(encoded.sparkSession, path), "id", "left")
     schema = T.StructType([f for f in kept.schema.fields if f.name != ids]).add(out, "binary")
 
@@ -271,18 +260,29 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
 
 def encode_decode_digests(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """The other columns of the input with ``n_tokens``, ``ids_sha256`` (of the ids as little-endian unsigned
-    32-bit numbers) and ``decoded_sha256`` (of the decoded bytes), from the ids and bytes of each row's words,
-    which are not kept. Null and empty texts have no tokens and the digests of nothing; columns named like a
-    result are replaced."""
+    32-bit numbers) and ``decoded_sha256`` (of the decoded bytes), from the ids of each row's words, which are not
+    kept. A block decodes where its ids are put together: the token-byte table, which has the vocabulary's size,
+    is there as one array, and is read by id. Null and empty texts have no tokens and the digests of nothing;
+    columns named like a result are replaced."""
     new = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
     kept = docs.drop(*[c for c in docs.columns if c.lower() in new and c != text])
     blocks, found = _looked_up(kept, path, pattern, text)
     schema = T.StructType([f for f in kept.schema.fields if f.name != text])
     for name, kind in new.items():
         schema = schema.add(name, kind)
+    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
 
     def make() -> Callable[..., dict[str, Any]]:
-        def digests(data: memoryview, stops: np.ndarray, starts: list[int], width: int) -> list[str]:
+        def table() -> pa.Array:
+            tokens = [b""] * (max(ranks.value.values()) + 1)
+            for token, i in ranks.value.items():
+                tokens[i] = token
+            return pa.array(tokens, pa.binary())
+
+        token_of = per_process(("tokens", path), table)
+
+        def digests(data: memoryview, stops: np.ndarray, width: int) -> list[str]:
+            starts = [0, *stops[:-1].tolist()]
             return [hashlib.sha256(data[a * width : b * width]).hexdigest() for a, b in zip(starts, stops.tolist())]
 
         def run(block: Exploded, values: pa.Table, places: np.ndarray) -> dict[str, Any]:
@@ -290,16 +290,17 @@ def encode_decode_digests(docs: DataFrame, path: str, pattern: str, text: str =
             if not len(places):
                 nothing = list(repeat(hashlib.sha256().hexdigest(), n))
                 return {"n_tokens": [0] * n, "ids_sha256": nothing, "decoded_sha256": nothing}
-            ids, joined = _gather(values["ids"], places), _gather(values["bytes"], places)
-            stops, starts = _spans(ids, block.ends)
-            flat = memoryview(np.ascontiguousarray(ids.flatten().to_numpy(), "<u4")).cast("B")
-            until, since = _spans(joined, block.ends)
+            taken = _gather(values["ids"], places)
+            stops, _ = _spans(taken, block.ends)
+            ids = np.ascontiguousarray(taken.flatten().to_numpy(), "<u4")
+            decoded = token_of.take(pa.array(ids))
+            until, _ = _spans(decoded, stops)
             return {
                 "n_tokens": np.diff(stops, prepend=0),
-                "ids_sha256": digests(flat, stops, starts, 4),
-                "decoded_sha256": digests(memoryview(joined.buffers()[2]), until, since, 1),
+                "ids_sha256": digests(memoryview(ids).cast("B"), stops, 4),
+                "decoded_sha256": digests(memoryview(decoded.buffers()[2]), until, 1),
             }
 
         return run
 
-    return reassemble(blocks, with_bytes(found, path), schema, make)
+    return reassemble(blocks, found, schema, make)

@@ -44,6 +44,10 @@ REMOTE = set(
 )
 NEAR = set("article content post entry story main body text prose".split())
 FAR_KINDS = {"nav", "header", "footer", "aside", "form"}
+#: Elements that a head may hold; any other begins the body.
+HEAD = set("base basefont bgsound head html link meta noframes noscript script style template title".split())
+#: Block elements that end a drawing or a formula that was not closed.
+BREAKS_OUT = {"p", "div", "ul", "ol", "dl", "table", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6"}
 
 _TAG = re.compile(
     r"<(?:!--(?:.*?-->|.*$)|(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>"
@@ -80,12 +84,26 @@ def _hint(rest: str) -> tuple[str, bool]:
 
 def parse(source: str) -> Page:
     """Block elements as nodes, inline ones as part of their block. White space in a block becomes one space;
-    character references are decoded; skipped elements leave nothing; an unfinished tag at the end is dropped."""
+    character references are decoded; skipped elements leave nothing; an unfinished tag at the end is dropped.
+
+    A head that is not closed ends at the first element or text that it may not hold. Another skipped element that
+    is not closed ends with its parent, at a sectioning element, or, as a drawing or formula, at a block."""
     page = Page()
     stack: list[tuple[str, int]] = [("", 0)]  # open elements and their nodes
     run: list[str] = []
     in_links = links = 0
-    skipping: list[str] = []
+    skipping: list[str] = []  # the skipped element and what is open inside it
+
+    def over(name: str, ends: str) -> bool:
+        """Whether a tag ends the skipped element without being its end tag."""
+        if skipping == ["head"]:
+            return name in ("body", "html") if ends else name not in HEAD
+        if ends:
+            return any(x == name for x, _ in stack)
+        kind = KINDS.get(name)
+        if name == "body" or kind in ("main", "nav", "header", "footer", "aside") and skipping[0] not in ("template", "dialog"):
+            return "foreignobject" not in skipping
+        return skipping[0] in ("svg", "math") and name in BREAKS_OUT and "foreignobject" not in skipping
 
     def close_run() -> None:
         nonlocal in_links
@@ -104,6 +122,8 @@ def parse(source: str) -> Page:
     while at < end:
         found = _TAG.search(source, at)
         stop = found.start() if found else end
+        if stop > at and skipping == ["head"] and source[at:stop].strip():
+            skipping.clear()
         if stop > at and not skipping:
             piece = source[at:stop]
             run.append(piece)
@@ -117,22 +137,23 @@ def parse(source: str) -> Page:
             continue
         ends, rest = found["end"] or found["end2"], found["rest"] or found["rest2"] or ""
         if skipping:
-            if name in skipping:
-                if not ends:
-                    skipping.append(name)
-                else:
-                    while skipping.pop() != name:
-                        pass
+            if ends and name in skipping:
+                while skipping.pop() != name:
+                    pass
                 continue
-            if name != "body":  # a head that is never closed ends where the body begins
+            if over(name, ends):
+                skipping.clear()
+            elif ends or name in VOID or rest.endswith("/"):
+                continue
+            elif name not in RAW:
+                skipping.append(name)
                 continue
-            skipping.clear()
         if name in SKIPPED and not ends:
             if name in RAW:
                 close = re.compile(rf"</{name}[\s/>]", re.I).search(source, at)
                 at = close.start() if close else end
-                over = source.find(">", at)
-                at = over + 1 if over >= 0 else end
+                after = source.find(">", at)
+                at = after + 1 if after >= 0 else end
             elif not rest.endswith("/"):
                 skipping.append(name)
             continue
@@ -289,17 +310,20 @@ class Model:
 
 
 def fit(pages: DataFrame, source: str = "html", sample: int = 2000, smoothing: float = 0.5, weight: float = 1.0) -> Model:
-    """Potentials counted over labelled pages: at most about ``sample`` pages with a main element, chosen by
-    hash, each as it is and once more in made-up surroundings. ``weight`` tempers the text of a node, whose
-    features depend on each other. Counts are made on the executors; what comes back has a row a feature."""
-    n = pages.count()
-    one_of = max(1, -(-n // sample))
-    chosen = pages.select(source).where(F.pmod(F.xxhash64(source), F.lit(one_of)) == 0)
+    """Potentials counted over labelled pages: the ``sample`` different ones with the smallest hashes among all
+    pages that name a main element in their markup, each as it is and once more in made-up surroundings. Equal
+    pages count once and pages without labels take no place. ``weight`` tempers the text of a node, whose features
+    depend on each other. Counts are made on the executors; what comes back has a row a feature. Without any
+    labelled page no node is more likely main text than not, and every page has an empty text."""
+    hashed = pages.select(F.col(source).alias("source"), F.xxhash64(source).alias("hash"))
+    hashed = hashed.where(F.col("source").rlike(r"(?i)<(article|main)[\s/>]|data-main"))
+    smallest = hashed.select("hash").distinct().orderBy("hash").limit(sample)
+    chosen = hashed.join(F.broadcast(smallest), "hash", "left_semi").groupBy("hash").agg(F.min("source").alias("source"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
         for batch in batches:
-            for data in texts(batch.column(source)):
+            for data in texts(batch.column("source")):
                 text = data.decode()
                 page = parse(text)
                 other = surrounded(text, page, len(data))
@@ -318,7 +342,7 @@ def fit(pages: DataFrame, source: str = "html", sample: int = 2000, smoothing: f
                 [*map(pa.array, columns), pa.array(list(found.values()), pa.int64())], ["what", "x", "y", "parent", "label", "n"]
             )
 
-    rows = chosen.mapInArrow(count, "what string, x string, y string, parent boolean, label boolean, n long")
+    rows = chosen.select("source").mapInArrow(count, "what string, x string, y string, parent boolean, label boolean, n long")
     counts: Counter = Counter()
     for r in rows.groupBy("what", "x", "y", "parent", "label").agg(F.sum("n").alias("n")).collect():
         counts[r.what, r.x, r.y, r.parent, r.label] = r.n

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .batches import free_name
 from .components import components
 from .storing import sent_whole, stored
 
@@ -202,16 +203,16 @@ def line_dedup(
     stays = F.col("key").eqNullSafe(F.col("first"))
     dropped = F.when(stays, F.array_remove("places", F.col("keep"))).otherwise(F.col("places"))
     removed = inside.select("key", "hash", dropped.alias("places")).where(F.size("places") > 0)
-    removed = removed.groupBy("key", "hash").agg(F.flatten(F.collect_list("places")).alias("gone")).toDF("_key", "_hash", "_gone")
-
     kept = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+    of, which, gone_at, split = (free_name(docs.columns, f"_{c}") for c in ("key", "hash", "gone", "lines"))
+    removed = removed.groupBy("key", "hash").agg(F.flatten(F.collect_list("places")).alias("gone")).toDF(of, which, gone_at)
     joined = docs.select(*[F.col(f"`{c}`") for c in kept]).join(
-        removed, F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_hash")), "left"
+        removed, F.col(key).eqNullSafe(F.col(of)) & (F.xxhash64(text) == F.col(which)), "left"
     )
-    joined = joined.withColumn("_lines", lines_of)
-    n_lines = F.greatest(F.coalesce(F.size("_lines"), F.lit(0)), F.lit(0)).cast("long")
-    gone = F.greatest(F.coalesce(F.size("_gone"), F.lit(0)), F.lit(0)).cast("long")
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    cut = F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")
+    joined = joined.withColumn(split, lines_of)
+    n_lines = F.greatest(F.coalesce(F.size(split), F.lit(0)), F.lit(0)).cast("long")
+    gone = F.greatest(F.coalesce(F.size(gone_at), F.lit(0)), F.lit(0)).cast("long")
+    left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(gone_at))
+    cut = F.array_join(F.transform(left, lambda i: F.get(split, i)), "\n")
     columns = [F.when(gone > 0, cut).otherwise(F.col(text)).alias(text) if c == text else F.col(f"`{c}`") for c in kept]
     return joined.select(*columns, n_lines.alias("n_lines"), gone.alias("n_removed"))

@@ -15,7 +15,7 @@ from .html_text import fit, main_text
 from .line_dedup import line_dedup
 from .packing import pack
 from .pitman_yor import lm_scores
-from .quality_bands import quality_bands
+from .quality_bands import fit_limits, quality_bands
 from .sharding import shuffled_shards
 from .simhash_gray import simhash_groups
 from .spelling import spelling_forms, vocabulary
@@ -31,6 +31,25 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: What SQL can express: vectors by pairs in double precision, components as the smallest id within reach.
+ORACLE["op1_embedding_near_dedup"] = """
+with recursive vectors as materialized (
+  select vec_id, list_transform(e, x -> x / sqrt(list_dot_product(e, e))) as e
+  from (select vec_id, cast(embedding as double[]) as e from embeddings)
+  where e is not null and len(e) > 0 and len(list_filter(e, x -> x is null or not isfinite(x))) = 0
+    and list_dot_product(e, e) > 0
+), links as materialized (
+  select a.vec_id as x, b.vec_id as y from vectors a join vectors b
+    on a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_dot_product(a.e, b.e) >= 0.9
+), reach(v, r) as (
+  select vec_id, vec_id from embeddings union select r.v, l.y from reach r join links l on r.r = l.x
+), lowest as (select v, min(r) as component_id from reach group by v),
+degrees as (select x, count(*) as n from links group by x)
+select e.vec_id, coalesce(n, 0) as n_links, component_id, e.vec_id = component_id as kept
+from embeddings e join lowest on v = e.vec_id left join degrees on x = e.vec_id
+"""
+
+
 def _query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
@@ -99,7 +118,8 @@ def op9_token_counts(spark, sf):
 @_query
 def op10_quality_rules(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return quality_bands(docs).select(
+    limits = fit_limits(docs, table(spark, sf, "labels").where("quality = 1"))
+    return quality_bands(docs, limits=limits).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio", "odd_share"
     )
 

@@ -2,23 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.staging import staged
+from ..sources.staging import stage_folder, staged
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def _without_shuffle_files(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``staged``, with the shuffle files of the write dropped at its end: nothing reads them again."""
-    conf = df.sparkSession.conf
-    before = conf.get(_CLEANUP, None)
-    conf.set(_CLEANUP, "true")
-    try:
+    with _without_shuffle_files(df.sparkSession):
         return staged(df)
-    finally:
-        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
+
+
+def stored_by(df: DataFrame, column: str, buckets: int) -> DataFrame:
+    """``stored``, and dealt by hash of a column into buckets without a shuffle: a join or a grouping by that
+    column moves only its other side. The files are those of a table that the catalog need not keep."""
+    spark, name = df.sparkSession, f"stage_{uuid.uuid4().hex}"
+    writer = df.write.option("path", f"{stage_folder(spark)}/{name}").option("compression", "zstd")
+    with _without_shuffle_files(spark):
+        writer.bucketBy(buckets, column).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"drop table {name}")  # of the catalog's entry: the files lie outside the catalog's folder
+    return table
 
 
 def sent_whole(df: DataFrame, most: int = 200_000) -> DataFrame:

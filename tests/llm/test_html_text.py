@@ -32,6 +32,32 @@ def test_parsing():
     assert len(_blocks("<div>" * 5000 + "deep" + "</div>" * 5000)) == 1
 
 
+def test_elements_left_open():
+    assert _blocks("<head><title>t</title><article><p>b</article>") == ["b"]
+    assert _blocks("<html><head><meta charset=x><script>'<p>'</script><p>a") == ["a"]
+    assert _blocks("<head><title>t</title>text<p>a") == ["text", "a"]
+    assert _blocks("<head><template><p>x</template><title>t</title></head><p>a") == ["a"]
+    assert _blocks("<div><button>Press</div><p>a") == ["a"] and _blocks("<button>Press<article>a</article>b") == ["a", "b"]
+    assert _blocks("<div><svg><path d=x></div><p>a") == ["a"] and _blocks("<svg><g><p>a</p>b") == ["a", "b"]
+    assert _blocks("<svg><foreignObject><div>x</div></foreignObject></svg>y") == ["y"]
+    assert _blocks("<button><div>x<p>y</div></button>z<select><option>a<option>b</select>c") == ["zc"]
+    assert _blocks("<section><select><option>a</section>b") == ["b"]
+
+
+def test_sample_of_labelled_pages(spark):
+    plain = [(f"<div><p>menu {i}</p></div>",) for i in range(300)]
+    page = "<nav><a href=x>go</a></nav><article><p>{}</p></article>"
+    words = "A sentence that goes on for some words and ends with number"
+    some = [(page.format(f"{words} {i}."),) for i in range(20)]
+    df = spark.createDataFrame(plain + some + some[:1] * 400 + [(None,)], "html string")
+    few, same = fit(df, sample=20), fit(spark.createDataFrame(some, "html string"), sample=20)
+    assert few == same  # neither unlabelled nor equal pages take places of others
+    got = main_text(df, few).where("text like 'A sentence%'").count()
+    assert got == 420
+    nothing = fit(spark.createDataFrame(plain, "html string"))
+    assert main_text(df, nothing).where("text <> ''").count() == 0
+
+
 def test_marginals_are_exact():
     source = "<div class=post><p>Some words that end here.</p><div><a href=x>link</a></div><ul><li>a<li>b</ul></div><p>q</p>"
     page = parse(source)

@@ -6,9 +6,10 @@ import random
 
 import corpus_pipeline
 from seriesloom.llm.line_dedup import line_dedup
-from seriesloom.llm.quality_bands import quality_bands
-from seriesloom.llm.simhash_gray import simhash_groups
+from pyspark.sql import functions as F
+from seriesloom.llm.quality_bands import fit_limits, quality_bands
 from test_packing import _check
+from test_shingle_groups import _want
 
 
 def test_stages(spark, sf):
@@ -17,7 +18,8 @@ def test_stages(spark, sf):
     assert names == ("quality rules", "line dedup", "simhash near-dedup", "packing")
     one = corpus_pipeline.staged(stages[0](spark, docs, sf))
     assert one.columns == docs.columns
-    kept = {r.doc_id for r in quality_bands(docs).where("kept").collect()}
+    good = spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1")
+    kept = {r.doc_id for r in quality_bands(docs, limits=fit_limits(docs, good)).where("kept").collect()}
     assert {r.doc_id for r in one.collect()} == kept
 
     two = corpus_pipeline.staged(stages[1](spark, one, sf))
@@ -29,7 +31,7 @@ def test_stages(spark, sf):
 
     three = corpus_pipeline.staged(stages[2](spark, two, sf))
     assert three.columns == docs.columns
-    first = {r.component_id for r in simhash_groups(two).collect()}
+    first = set(_want([(r.doc_id, r.text) for r in two.collect()]).values())
     assert sorted(r.doc_id for r in three.collect()) == sorted(first)
 
     _check(three.collect(), stages[3](spark, three, sf).collect())
@@ -59,3 +61,14 @@ def test_one_row_of_each_group_stays(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     left = [(r.doc_id, r.text) for r in corpus_pipeline.simhash_near_dedup(spark, docs, "").collect()]
     assert sorted(left, key=str) == sorted([(None, one), (4, two), (4, three), (None, None)], key=str)
+
+
+def test_other_columns_come_back_as_they_are(spark, sf):
+    names = "ratio kept n_words odd_share n_lines n_removed _key _gone _hash _lines _row row rest key hash class order Text_".split()
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    wide = docs.select("*", *[F.concat(F.lit(f"{c} of "), "doc_id").alias(c) for c in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        wide = corpus_pipeline.staged(stage(spark, wide, sf))
+        assert wide.columns == [*docs.columns, *names]
+        assert not wide.where(" or ".join(f"`{c}` <> concat('{c} of ', doc_id)" for c in names)).count()
+    assert wide.count() == corpus_pipeline.STAGES[-1][1](spark, wide, sf).select("doc_id").distinct().count()
