@@ -33,14 +33,14 @@ ORACLE: dict[str, str] = {}
 
 #: What SQL can express: vectors by pairs in double precision, components as the smallest id within reach.
 ORACLE["op1_embedding_near_dedup"] = """
-with recursive vectors as materialized (
-  select vec_id, list_transform(e, x -> x / sqrt(list_dot_product(e, e))) as e
-  from (select vec_id, cast(embedding as double[]) as e from embeddings)
-  where e is not null and len(e) > 0 and len(list_filter(e, x -> x is null or not isfinite(x))) = 0
-    and list_dot_product(e, e) > 0
+with recursive sound as materialized (
+  select vec_id, e from (select vec_id, cast(embedding as double[]) as e from embeddings)
+  where len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0
+), vectors as materialized (
+  select vec_id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) as e from sound
 ), links as materialized (
   select a.vec_id as x, b.vec_id as y from vectors a join vectors b
-    on a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_dot_product(a.e, b.e) >= 0.9
+    on a.vec_id <> b.vec_id and case when len(a.e) = len(b.e) then list_dot_product(a.e, b.e) end >= 0.9
 ), reach(v, r) as (
   select vec_id, vec_id from embeddings union select r.v, l.y from reach r join links l on r.r = l.x
 ), lowest as (select v, min(r) as component_id from reach group by v),
