@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from itertools import count
@@ -14,7 +15,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.quantiles import exact_quantiles
 from .batches import SPACES, texts, with_computed
+from .storing import sent_whole, stored
 
 #: zstandard's bytes out per byte in, lowest and highest that pass, by least length in bytes, for
 #: lengths without fitted limits. Short texts compress badly whatever they hold, so the band narrows and sinks with length. Under the first
@@ -125,10 +128,49 @@ def base_fails(words: Sequence[bytes], again: int) -> bool:
     return len(words) < 10 or 100 * again > 20 * len(words)
 
 
-def _spread(values: np.ndarray, tail: float, width: float) -> tuple[float, float]:
-    low, left, middle, right, high = np.quantile(values, [tail, 0.16, 0.5, 0.84, 1 - tail])
+def _spread(quantiles: Sequence[float], width: float) -> tuple[float, float]:
+    low, left, middle, right, high = quantiles
     reach = width * (right - left) / 2
-    return float(min(low, middle - reach)), float(max(high, middle + reach))
+    return min(low, middle - reach), max(high, middle + reach)
+
+
+def _quantile(times: Mapping[int, int], share: float) -> float:
+    """The quantile (linear interpolation) of values that occur so many times."""
+    values = np.array(sorted(times))
+    upto = np.cumsum([times[v] for v in values.tolist()])
+    at = (int(upto[-1]) - 1) * share
+    low, high = (float(values[np.searchsorted(upto, i, side="right")]) for i in (math.floor(at), math.ceil(at)))
+    return low + (high - low) * (at - math.floor(at))
+
+
+def _labelled_texts(docs: DataFrame, good: DataFrame, key: str, text: str) -> DataFrame:
+    """``hash`` and ``text`` of every key in ``good``, one text a key (that of the smallest hash), equal texts once."""
+    wanted = stored(good.select(F.col(key).alias("key")).where("key is not null").distinct())
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text <> ''")
+    rows = rows.withColumn("hash", F.xxhash64("text")).join(sent_whole(wanted), "key", "left_semi")
+    one = stored(rows.groupBy("key").agg(F.min("hash").alias("hash")))
+    return rows.join(sent_whole(one), ["key", "hash"], "left_semi").groupBy("hash").agg(F.min("text").alias("text"))
+
+
+def _frequent_words(texts_of: DataFrame, size: int) -> bytes:
+    """A dictionary of ``size`` bytes: the words whose repetition holds most bytes, those most often used last, where
+    they are cheapest to point at. All words of all texts are counted; what comes back is set by ``size``."""
+
+    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            times = Counter(w for x in texts(batch.column("text")) for w in x.split())
+            yield pa.RecordBatch.from_pydict({"word": pa.array([*times], pa.binary()), "n": pa.array([*times.values()], pa.int64())})
+
+    counts = texts_of.select("text").mapInArrow(count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    # with the space before it; a match of three bytes or less saves nothing
+    saved = F.col("n") * (F.octet_length("word") - 2)
+    best = counts.where("n > 1 and octet_length(word) > 2").orderBy(saved.desc(), "word").limit(size // 4)
+    taken, held = [], 0
+    for r in best.collect():
+        if held + len(r.word) + 1 <= size:
+            taken.append((r.n, bytes(r.word)))
+            held += len(r.word) + 1
+    return b"".join(b" " + w for _, w in sorted(taken))
 
 
 def fit_limits(
@@ -136,64 +178,70 @@ def fit_limits(
     good: DataFrame,
     key: str = "doc_id",
     text: str = "text",
-    sample: int = 4000,
     least: int = 40,
     chunk: int = 512,
     odd_limit: float = 0.5,
     tail: float = 0.002,
     width: float = 3.3,
     dictionary_bytes: int = 64 << 10,
-    seed: int = 42,
 ) -> Limits:
-    """Limits from texts known to be good: ``docs`` whose ``key`` is in ``good``.
+    """Limits from all texts known to be good: ``docs`` whose ``key`` is in ``good``.
 
-    The bounded sample are the ``sample`` keys of ``good`` with the smallest hashes, one text a key, equal texts
-    once, without those that the base rules reject. A class of length with ``least`` of them gets limits of its
-    own: they leave out at most a share of ``tail`` on either side and lie at least ``width`` standard deviations
-    (from the middle 68 %) off the median. Other classes keep the fixed bands. Two chunks of each text are drawn
-    by hash: half of them train a dictionary, so that text of another kind does not compress like the sample's;
-    the other half sets the limits of chunks. With fewer than ``2 * least`` chunks a half, chunks keep their fixed band too.
+    One text a key and equal texts once count, without those that the base rules reject. A class of length with
+    ``least`` of them gets limits of its own, from exact quantiles of all its ratios: they leave out at most a share
+    of ``tail`` on either side and lie at least ``width`` standard deviations (from the middle 68 %) off the median.
+    Other classes keep the fixed bands. The texts are halved by hash: the words of one half are counted for a
+    dictionary, so that text of another kind does not compress like theirs; all chunks of the other half set the
+    limits of chunks. With fewer than ``2 * least`` chunks a half, chunks keep their fixed band too.
 
-    What reaches the driver is a ratio and two chunks for each text of the sample. Null keys and null, empty or
-    missing texts are no sample.
+    What reaches the driver are the words of the dictionary, quantiles, and how often each compressed size of a
+    chunk occurs. Null keys and null, empty or missing texts teach nothing.
     """
-    wanted = good.select(F.col(key).alias("key")).where("key is not null").distinct()
-    wanted = wanted.orderBy(F.xxhash64(F.lit(seed), "key"), "key").limit(sample)
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text <> ''")
-    rows = rows.withColumn("hash", F.xxhash64("text"))
-    one = rows.join(F.broadcast(wanted), "key").groupBy("key").agg(F.min("hash").alias("hash"))
-    drawn = rows.join(F.broadcast(one), ["key", "hash"]).groupBy("hash").agg(F.min("text").alias("text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole, _ = Limits().sizes()
         for batch in batches:
-            found = []
-            for h, data in zip(batch.column("hash").to_pylist(), texts(batch.column("text"))):
+            sound, kinds, ratios, chunks = [], [], [], []
+            for data in texts(batch.column("text")):
                 words = data.split()
-                if base_fails(words, repeated_words(words)):
-                    continue
-                places = range(len(data) // chunk)
-                picked = sorted({places[(h >> s) % len(places)] for s in (0, 24)}) if places else []
-                found.append((h, len(data), whole(data), [data[i * chunk : (i + 1) * chunk] for i in picked]))
-            if found:
-                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], ["hash", "n", "ratio", "chunks"])
-
-    seen = drawn.mapInArrow(measure, "hash long, n long, ratio double, chunks array<binary>").collect()
-    seen.sort(key=lambda r: r["hash"])
-    by_class: dict[int, list[float]] = {}
-    for r in seen:
-        by_class.setdefault(length_class(r["n"]), []).append(r["ratio"])
-    fitted = {c: _spread(np.array(x), tail, width) for c, x in by_class.items() if len(x) >= least}
-    teach = [bytes(c) for r in seen[::2] for c in r["chunks"]]
-    check = [bytes(c) for r in seen[1::2] for c in r["chunks"]]
-    if min(len(teach), len(check)) < 2 * least:
+                sound.append(not base_fails(words, repeated_words(words)))
+                if sound[-1]:
+                    kinds.append(length_class(len(data)))
+                    ratios.append(whole(data))
+                    chunks.append(-(-len(data) // chunk) if len(data) >= chunk else 0)
+            rows = batch.filter(pa.array(sound, pa.bool_()))
+            half = pa.array(rows.column("hash").to_numpy() & 1, pa.int32())
+            columns = [half, pa.array(kinds, pa.int32()), pa.array(ratios, pa.float64()), pa.array(chunks, pa.int64()), rows.column("text")]
+            yield pa.RecordBatch.from_arrays(columns, ["half", "class", "ratio", "chunks", "text"])
+
+    drawn = _labelled_texts(docs, good, key, text)
+    seen = stored(drawn.mapInArrow(measure, "half int, class int, ratio double, chunks long, text string"))
+    sizes = {r["class"]: r.n for r in seen.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()}
+    own = sorted(c for c, n in sizes.items() if n >= least)
+    fitted: dict[int, tuple[float, float]] = {}
+    if own:
+        by_class = seen.select(*[F.when(F.col("class") == c, F.col("ratio")).alias(f"class {c}") for c in own])
+        spread = exact_quantiles(by_class, by_class.columns, [tail, 0.16, 0.5, 0.84, 1 - tail])
+        fitted = {c: _spread(spread[f"class {c}"], width) for c in own}
+    held = {r["half"]: r for r in seen.groupBy("half").agg(F.sum("chunks").alias("n")).collect()}
+    if min(held[h].n if h in held else 0 for h in (0, 1)) < 2 * least:
         return Limits(fitted=fitted)
-    trained = zstandard.train_dictionary(min(dictionary_bytes, sum(map(len, teach)) // 8), teach)
-    limits = Limits(fitted=fitted, chunk=chunk, odd_limit=odd_limit, dictionary=trained.as_bytes())
-    plain, aided = limits.sizes()
-    low, high = np.quantile([plain(c) for c in check], tail), np.quantile([aided(c) for c in check], 1 - 2 * tail)
-    return replace(limits, chunks=(float(low), float(high)))
+    dictionary = _frequent_words(seen.where("half = 0"), min(dictionary_bytes, held[0].n * chunk // 8))
+    limits = Limits(fitted=fitted, chunk=chunk, odd_limit=odd_limit, dictionary=dictionary)
+
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        functions = limits.sizes()
+        for batch in batches:
+            times = Counter((i, round(f(c) * chunk)) for x in texts(batch.column("text")) for c in chunks_of(x, chunk) for i, f in enumerate(functions))
+            which, size = zip(*times) if times else ((), ())
+            columns = [pa.array(which, pa.int32()), pa.array(size, pa.int64()), pa.array([*times.values()], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["aided", "size", "n"])
+
+    packed = seen.where("half = 1").select("text").mapInArrow(compress, "aided int, size long, n long")
+    plain, aided = {}, {}
+    for r in packed.groupBy("aided", "size").agg(F.sum("n").alias("n")).collect():
+        (aided if r.aided else plain)[r["size"]] = r.n
+    return replace(limits, chunks=(_quantile(plain, tail) / chunk, _quantile(aided, 1 - 2 * tail) / chunk))
 
 
 def quality_bands(docs: DataFrame, text: str = "text", limits: Limits = Limits()) -> DataFrame:

@@ -7,6 +7,8 @@ import random
 import re
 from pathlib import Path
 
+import numpy as np
+import pytest
 import zstandard
 from pyspark.sql import functions as F
 
@@ -116,3 +118,19 @@ def test_one_text_for_each_key_and_equal_texts_once(spark):
     docs = spark.createDataFrame(rows + [(500 + i, rows[0][1]) for i in range(300)], "doc_id long, text string")
     assert fit_limits(docs, docs, least=101).fitted == {}
     assert len(fit_limits(docs, docs, least=100).fitted) == 1
+
+
+def test_limits_come_from_all_labelled_texts(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(3000)]
+    rows = [(i, " ".join(rng.choices(words, k=100))) for i in range(4200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    limits = fit_limits(docs, docs, least=1000)
+    packer = zstandard.ZstdCompressor(level=3)
+    ratios = [len(packer.compress(t.encode())) / len(t) for _, t in rows]
+    low, left, middle, right, high = np.quantile(ratios, [0.002, 0.16, 0.5, 0.84, 0.998])
+    reach = 3.3 * (right - left) / 2
+    assert list(limits.fitted) == [math.floor(2 * math.log2(699))]
+    assert limits.fitted[18] == pytest.approx((min(low, middle - reach), max(high, middle + reach)))
+    # no words are drawn: those of half the texts fill the dictionary
+    assert all(f" {w}".encode() in limits.dictionary for w in words)
