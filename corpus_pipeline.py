@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from seriesloom.llm.batches import free_name
+from seriesloom.llm.components import components
 from seriesloom.llm.line_dedup import line_dedup
 from seriesloom.llm.packing import pack
 from seriesloom.llm.quality_bands import Limits, fit_limits, quality_bands
 from seriesloom.llm.shingle_groups import similar_groups
 from seriesloom.llm.queries import WORDS
+from seriesloom.llm.simhash_gray import simhash_groups
 from seriesloom.sources.staging import staged
 
 
@@ -59,9 +61,10 @@ def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every group of near-duplicates: that with the smallest id, nulls last, then by text and row.
 
-    Near-duplicates lead to each other over texts whose five-word shingles have a Jaccard similarity of 0.8 or
-    more. Texts at 0.8 differ in about 10 of 64 SimHash bits and in up to 18 or 20, a distance at which the Gray
-    index of op4 has nothing left to prune; so candidates come from exact prefixes of the shingles instead.
+    Two texts are near-duplicates if their SimHash fingerprints differ in at most 4 bits (op4), or if their
+    five-word shingles have a Jaccard similarity of 0.8 or more: such texts differ in about 10 of 64 bits and in up
+    to 18 or 20, a distance at which the Gray index of op4 has nothing left to prune, so these links come from exact
+    prefixes of the shingles. Links of both kinds lead on to each other.
 
     Rows are told apart by a number of their own, so unique rows without an id stay, and of rows that repeat an
     id with near-duplicate texts one stays.

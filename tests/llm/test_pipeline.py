@@ -72,3 +72,12 @@ def test_other_columns_come_back_as_they_are(spark, sf):
         assert wide.columns == [*docs.columns, *names]
         assert not wide.where(" or ".join(f"`{c}` <> concat('{c} of ', doc_id)" for c in names)).count()
     assert wide.count() == corpus_pipeline.STAGES[-1][1](spark, wide, sf).select("doc_id").distinct().count()
+
+
+def test_simhash_links_and_shingle_links_lead_on_to_each_other(spark):
+    rng = random.Random(4)
+    one, two, three = (" ".join("".join(rng.choices("bcdefgh", k=6)) for _ in range(30)) for _ in range(3))
+    # 1 and 2 have the fingerprint of the repeated word, 2 and 4 the same set of shingles
+    rows = [(1, "a " * 100 + one), (2, "a " * 100 + two), (3, three), (4, "a " * 10 + two)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.simhash_near_dedup(spark, docs, "").collect()) == [1, 3]
