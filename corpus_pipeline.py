@@ -34,8 +34,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the quality rules keep, as they are; limits are fitted to those labelled as good, if any."""
     good = labelled_good(spark, sf_dir)
     limits = Limits() if good is None else fit_limits(docs, good)
-    rows = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return quality_bands(rows, limits=limits).where("kept").select("row.*")
+    rest = [c for c in docs.columns if c != "text"]  # the text moves once
+    rows = docs.select("text", F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest]).alias("rest"))
+    kept = quality_bands(rows, limits=limits).where("kept")
+    return kept.select(*[F.col("rest")[c].alias(c) if c in rest else F.col(c) for c in docs.columns])
 
 
 def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,8 +74,14 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     row = free_name(docs.columns, "_row")
     rows = staged(docs.withColumn(row, F.monotonically_increasing_id()))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), row)
-    placed = similar_groups(rows.select(row, "text"), row).join(rows.select(row, order.alias("order")), row)
-    first = placed.groupBy("component_id").agg(F.min("order")[row].alias(row))
+    texts = rows.select(row, "text")
+    by_bits = simhash_groups(texts, row).select(row, F.col("component_id").alias("a"))
+    by_shingles = similar_groups(texts, row).select(row, F.col("component_id").alias("b"))
+    both = staged(by_bits.join(by_shingles, row))
+    # every group of either kind bears one of its rows; rows tie the two kinds together
+    parts = components(both.where("a <> b").select("a", "b").distinct())
+    placed = both.join(parts, F.col("node") == F.col("a"), "left").select(row, F.coalesce("component", "a").alias("component_id"))
+    first = placed.join(rows.select(row, order.alias("order")), row).groupBy("component_id").agg(F.min("order")[row].alias(row))
     return rows.join(first, row, "left_semi").select(*docs.columns)
 
 
