@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from .batches import per_process, with_computed
-from .blockwise import Exploded, cut, elements, explode, occurrences, reassemble, text_sizes
+from .blockwise import Exploded, cut, elements, explode, occurrences, packed, reassemble, text_sizes
 from .bpe import _FOREIGN, _byte_symbols
 from .storing import stored
 from .token_counts import SPLIT
@@ -303,4 +303,4 @@ def alignment_scores(docs: DataFrame, path_a: str, path_b: str, text: str = "tex
 
         return run
 
-    return reassemble(blocks, found, schema, make)
+    return reassemble(blocks, packed(found), schema, make)

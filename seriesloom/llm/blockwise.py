@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from typing import Any, NamedTuple
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -126,7 +127,52 @@ def occurrences(blocks: DataFrame, name: str = "element") -> DataFrame:
     return found.groupBy(name).agg(F.sum("n").alias("n"))
 
 
-def _pack(found: DataFrame) -> DataFrame:
+def by_element(
+    blocks: DataFrame, make: Callable[[], Callable[[pa.Array], pa.Array]], value: str, most: int = 1 << 20
+) -> DataFrame:
+    """What a function makes of each element, packed for ``reassemble`` as the column ``value``.
+
+    Elements (binary) are shuffled by hash into groups of about ``most`` rows, one row for each distinct element of
+    a block. ``make`` returns a function from the distinct elements of a group to their values, so each distinct
+    element is met once in the whole table. Elements and values move packed, by block and group.
+    """
+    total = blocks.agg(F.sum(F.size("elements"))).first()[0] or 0
+    groups = max(8, -(-total // most))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                own = batch.column("elements")[i].values
+                if not len(own):
+                    continue
+                group = np.fromiter((crc32(w) % groups for w in own.to_pylist()), np.int32, len(own))
+                order = np.argsort(group, kind="stable").astype(np.int32)
+                rows = pa.record_batch({"place": order, "element": own.take(pa.array(order))})
+                starts = np.flatnonzero(np.diff(group[order], prepend=-1)).tolist()
+                parts = [_bytes(rows.slice(a, b - a)) for a, b in zip(starts, [*starts[1:], len(order)])]
+                yield pa.record_batch(
+                    {
+                        "group": pa.array(group[order][starts], pa.int32()),
+                        "block": pa.array([batch.column("block")[i].as_py()] * len(parts), pa.int64()),
+                        "part": pa.array(parts, pa.binary()),
+                    }
+                )
+
+    def find(held: pa.Table) -> pa.Table:
+        parts = [_table(x) for x in held["part"].to_pylist()]
+        coded = pa.concat_tables(parts)["element"].combine_chunks().dictionary_encode()
+        values, out, at = make()(coded.dictionary), [], 0
+        for part in parts:
+            own = values.take(coded.indices.slice(at, len(part)))
+            at += len(part)
+            out.append(_bytes(pa.record_batch({"place": part["place"].combine_chunks(), value: own})))
+        return pa.table({"block": held["block"], "part": pa.array(out, pa.binary())})
+
+    dealt = blocks.select("block", "elements").mapInArrow(deal, "group int, block long, part binary")
+    return dealt.groupBy("group").applyInArrow(find, "block long, part binary")
+
+
+def packed(found: DataFrame) -> DataFrame:
     """Rows of (block, place, values...) as few packed rows a block, so that the shuffle moves them compressed."""
     names = [c for c in found.columns if c != "block"]
 
@@ -151,7 +197,7 @@ def reassemble(
 ) -> DataFrame:
     """The kept rows of every block with columns computed from what was found for its elements.
 
-    ``found`` has ``block``, ``place`` and values, one row for each element of each block. The function that
+    ``found`` (of ``packed`` or ``by_element``) has for each element of each block its place and values. The function that
     ``make`` returns gets the block, the table of values in the order of places, and for each occurrence in
     order the row of that table; it returns the columns of ``schema`` that the kept rows do not have. A block is
     one group, bounded by the size of the batch it came from.
@@ -177,4 +223,4 @@ def reassemble(
         )
 
     content = blocks.select("block", "rows", "ends", "places").groupBy("block")
-    return content.cogroup(_pack(found).groupBy("block")).applyInArrow(run, schema)
+    return content.cogroup(found.groupBy("block")).applyInArrow(run, schema)

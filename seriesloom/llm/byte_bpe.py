@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .batches import per_process, with_computed
-from .blockwise import Exploded, cut, elements, explode, reassemble, text_sizes
+from .batches import per_process
+from .blockwise import Exploded, by_element, cut, elements, explode, packed, reassemble, text_sizes
 
 _NEVER = 1 << 62
 _SHORT = 100
@@ -159,26 +159,16 @@ def _exploded(docs: DataFrame, pattern: str, text: str) -> DataFrame:
     return explode(docs, make, "binary", F.octet_length(text))
 
 
-def encode_words(words: DataFrame, path: str, word: str = "element") -> DataFrame:
-    """The input with ``ids``, the ranks that each row's word ends in. Rows are dealt and sorted by word, so that
-    a word is encoded once however many rows have it (once more where its rows cross Arrow batches)."""
-    ranks = words.sparkSession.sparkContext.broadcast(read_ranks(path))
-
-    def make() -> Callable[[pa.RecordBatch], dict[str, Any]]:
-        def run(batch: pa.RecordBatch) -> dict[str, Any]:
-            coded = batch.column(word).dictionary_encode()
-            ids = pa.array([merge(w, ranks.value) for w in coded.dictionary.to_pylist()], pa.list_(pa.int32()))
-            return {"ids": ids.take(coded.indices)}
-
-        return run
-
-    return with_computed(words.repartition(word).sortWithinPartitions(word), {"ids": "array<int>"}, make)
-
-
 def _looked_up(docs: DataFrame, path: str, pattern: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """The blocks of a table, and the ids of every word of every block."""
+    """The blocks of a table, and the ids of every word of every block, packed. Words are dealt by hash, so that a
+    word is encoded once however many blocks have it."""
     blocks = _exploded(docs, pattern, text)
-    return blocks, encode_words(elements(blocks), path).select("block", "place", "ids")
+    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
+
+    def make() -> Callable[[pa.Array], pa.Array]:
+        return lambda words: pa.array([merge(w, ranks.value) for w in words.to_pylist()], pa.list_(pa.int32()))
+
+    return blocks, by_element(blocks, make, "ids")
 
 
 def _gather(values: pa.ChunkedArray, places: np.ndarray) -> pa.Array:
@@ -255,7 +245,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
 
         return run
 
-    return reassemble(blocks, found.drop("id"), schema, make)
+    return reassemble(blocks, packed(found.drop("id")), schema, make)
 
 
 def encode_decode_digests(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:

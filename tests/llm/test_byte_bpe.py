@@ -9,6 +9,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from seriesloom.llm import byte_bpe
 from seriesloom.llm.byte_bpe import Splitter, decode, encode, encode_decode_digests, merge, read_ranks, unlike_characters
 from seriesloom.llm.queries import MULTI, QUERIES, SPLIT
 
@@ -71,3 +72,14 @@ def test_query(spark, sf):
         digests = (np.array(ids, "<u4").tobytes(), LIBRARY.decode_bytes(ids))
         assert got[r.doc_id] == (len(ids), *(hashlib.sha256(x).hexdigest() for x in digests))
     assert len(got) == len(docs)
+
+
+def test_each_distinct_word_is_met_once_and_moves_packed(spark):
+    words = [f"w{i:05}" for i in range(5000)]
+    docs = spark.createDataFrame([(i, " ".join(words)) for i in range(40)], "doc_id long, text string").repartition(8)
+    blocks, found = byte_bpe._looked_up(docs, MULTI, SPLIT, "text")
+    assert found.columns == ["block", "part"]
+    # rows moved are parts of blocks, not words
+    assert found.count() <= 8 * blocks.count()
+    got = {tuple(r.ids) for r in encode(docs, MULTI, SPLIT).collect()}
+    assert got == {tuple(LIBRARY.encode_ordinary(" ".join(words)))}
